@@ -8,16 +8,16 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.functions.timestamps import join_ts
-from pulsekit.operators.joins import has_at_most, lookup_join
+from pulsekit.functions.timestamps import epoch_micros, join_ts
+from pulsekit.operators.joins import lookup_join
 
 RULES_SCHEMA = (
     "rule_seq bigint, backend string, channel string, start_pulse bigint, end_pulse bigint, "
     "start_ts timestamp_ntz, end_ts timestamp_ntz, ttl_s bigint"
 )
 
-# Up to this many rules in all, each channel carries its rules as one array and no sample is shuffled.
-INLINE_RULES = 10_000
+# Up to this many filed rules are broadcast, and no sample is shuffled.
+INLINE_RULES = 100_000
 
 
 def ttl_rule(
@@ -48,10 +48,30 @@ def retention_rules(spark: SparkSession, updates: Sequence[tuple], backend: str)
     return spark.createDataFrame(rows, RULES_SCHEMA)
 
 
-def _covers(rule: Column, pulse: Column, ts: Column) -> Column:
-    by_pulse = pulse.between(rule["start_pulse"], rule["end_pulse"])
-    by_time = ts.between(rule["start_ts"], rule["end_ts"])
-    return F.coalesce(by_pulse, F.lit(False)) | F.coalesce(by_time, F.lit(False))
+def _spans(rules: DataFrame) -> DataFrame:
+    """Rules as inclusive whole-number ranges on the pulse axis ("p") or the time axis ("t", microseconds).
+
+    Each range is filed under the blocks it touches, of a width that suits its length: `level` is the
+    width in bits, in steps of two, and a range touches two blocks of it, or one. A sample therefore has one
+    block to look in per level in use, however many rules its channel has.
+    """
+    entries = F.array(
+        F.struct(F.lit("p").alias("axis"), F.col("start_pulse").alias("lo"), F.col("end_pulse").alias("hi")),
+        F.struct(F.lit("t").alias("axis"), _micros(F.col("start_ts")).alias("lo"), _micros(F.col("end_ts")).alias("hi")),
+    )
+    ranges = (
+        rules.select("rule_seq", "backend", "channel", "ttl_s", F.explode(entries).alias("_entry"))
+        .select("rule_seq", "backend", "channel", "ttl_s", "_entry.*")
+        .where("lo <= hi")
+    )
+    bits = F.log2(F.greatest(F.col("hi").cast("double") - F.col("lo").cast("double"), F.lit(1.0)))
+    level = F.least(F.ceil(bits / 2) * 2, F.lit(60)).cast("int")
+    leveled = ranges.withColumn("level", level)
+    return leveled.withColumn("block", F.explode(F.sequence(F.expr("lo >> level"), F.expr("hi >> level"))))
+
+
+def _micros(ts: Column) -> Column:
+    return epoch_micros(ts.cast("timestamp_ntz"), ntz=True)
 
 
 def apply_retention(
@@ -64,35 +84,93 @@ def apply_retention(
     """Each sample with the ttl of the latest rule that covers it, and `expires_at`.
 
     Bounds are inclusive. Samples need `backend`, `channel`, `pulse_id` and `ts` (or the second/nanosecond
-    pair). Up to `inline_rules` rules, a channel's rules travel to its samples as one broadcast array: no
-    shuffle and no extra rows. Beyond that the rules are joined by salted key, the latest match of each
-    sample is found by its `key`, and the ttl is joined back.
+    pair). The rules are counted first. Up to `inline_rules` of them are broadcast by block and samples are
+    neither shuffled nor multiplied. Beyond that samples and rules meet in a salted shuffle join by block,
+    the latest match of each `key` is found, and its ttl is joined back.
     """
     if "ts" not in samples.columns:
         samples = samples.withColumn("ts", join_ts(F.col("ts_sec"), F.col("ts_ns")))
-    default = F.lit(default_ttl_s).cast("bigint")
-    on = ["backend", "channel"]
-    if has_at_most(rules, inline_rules):
-        newest_first = F.struct((-F.col("rule_seq")).alias("age"), "start_pulse", "end_pulse", "start_ts", "end_ts", "ttl_s")
-        per_channel = rules.groupBy(*on).agg(F.sort_array(F.collect_list(newest_first)).alias("_rules"))
-        joined = samples.join(F.broadcast(per_channel), on, "left")
-        covering = F.filter("_rules", lambda r: _covers(r, F.col("pulse_id"), F.col("ts")))
-        found = joined.withColumn("_ttl", F.get(covering, F.lit(0))["ttl_s"]).drop("_rules")
+    spans = _spans(rules)
+    levels, n_rules = _levels(spans)
+    if not levels:
+        found = samples.withColumn("_ttl", F.lit(None).cast("bigint"))
+    elif n_rules <= inline_rules:
+        found = _by_broadcast(samples, spans, levels)
     else:
-        probe = samples.select(*dict.fromkeys([*key, *on, "pulse_id", "ts"]))
-        all_columns = F.struct(*rules.columns)
-        matches = lookup_join(
-            probe, rules.select(*on, all_columns.alias("_rule")), on, list(key), "inner", broadcast_rows=inline_rules
-        ).where(_covers(F.col("_rule"), F.col("pulse_id"), F.col("ts")))
-        winners = matches.groupBy(*key).agg(F.max_by(F.col("_rule.ttl_s"), F.col("_rule.rule_seq")).alias("_ttl"))
-        found = samples.join(winners, list(key), "left")
+        found = _by_shuffle(samples, spans, levels, key)
     return (
-        found.withColumn("ttl_s", F.coalesce("_ttl", default))
+        found.withColumn("ttl_s", F.coalesce("_ttl", F.lit(default_ttl_s).cast("bigint")))
         .drop("_ttl")
         .withColumn("expires_at", F.col("ts") + F.make_dt_interval(secs=F.col("ttl_s").cast("decimal(18,6)")))
     )
 
 
+def _levels(spans: DataFrame) -> tuple[list[tuple[str, int]], int]:
+    """The (axis, level) pairs in use, at most 62, and the number of filed rules."""
+    rows = spans.groupBy("axis", "level").agg(F.count(F.lit(1)).alias("n")).collect()
+    return sorted((r["axis"], r["level"]) for r in rows), sum(r["n"] for r in rows)
+
+
+def _positions(samples: DataFrame) -> DataFrame:
+    return samples.withColumn("_p", F.col("pulse_id").cast("bigint")).withColumn("_t", _micros(F.col("ts")))
+
+
+def _block_of(axis: str, level: int) -> Column:
+    return F.shiftright(F.col(f"_{axis}"), level)
+
+
+def _by_broadcast(samples: DataFrame, spans: DataFrame, levels: list[tuple[str, int]]) -> DataFrame:
+    newest_first = F.struct((-F.col("rule_seq")).alias("age"), "lo", "hi", "ttl_s")
+    filed = spans.groupBy("axis", "level", "backend", "channel", "block").agg(
+        F.sort_array(F.collect_list(newest_first)).alias("_filed")
+    )
+    filed = F.broadcast(filed)
+    rows, winners = _positions(samples), []
+    for axis, level in levels:
+        rows = (
+            rows.withColumn("axis", F.lit(axis))
+            .withColumn("level", F.lit(level))
+            .withColumn("block", _block_of(axis, level))
+            .join(filed, ["axis", "level", "backend", "channel", "block"], "left")
+            .drop("axis", "level", "block")
+        )
+        at = F.col(f"_{axis}")
+        covering = F.filter("_filed", lambda r: at.between(r["lo"], r["hi"]))
+        name = f"_{axis}{level}"
+        rows = rows.withColumn(name, F.get(covering, F.lit(0))).drop("_filed")
+        winners.append(name)
+    # The newest rule has the least age; levels without a covering rule are NULL and do not count.
+    best = F.least(*winners) if len(winners) > 1 else F.col(winners[0])
+    return rows.withColumn("_ttl", best["ttl_s"]).drop("_p", "_t", *winners)
+
+
+def _by_shuffle(samples: DataFrame, spans: DataFrame, levels: list[tuple[str, int]], key: Sequence[str]) -> DataFrame:
+    places = F.array(
+        *[
+            F.struct(
+                F.lit(axis).alias("axis"),
+                F.lit(level).alias("level"),
+                _block_of(axis, level).alias("block"),
+                F.col(f"_{axis}").alias("_at"),
+            )
+            for axis, level in levels
+        ]
+    )
+    probe = (
+        _positions(samples.select(*dict.fromkeys([*key, "backend", "channel", "pulse_id", "ts"])))
+        .withColumn("_place", F.explode(places))
+        .select(*dict.fromkeys([*key, "backend", "channel"]), "_place.*")
+    )
+    on = ["axis", "level", "backend", "channel", "block"]
+    matches = lookup_join(probe, spans.select(*on, "lo", "hi", "rule_seq", F.col("ttl_s").alias("_rule_ttl")), on, list(key), "inner")
+    winners = (
+        matches.where(F.col("_at").between(F.col("lo"), F.col("hi")))
+        .groupBy(*key)
+        .agg(F.max_by("_rule_ttl", "rule_seq").alias("_ttl"))
+    )
+    return samples.join(winners, list(key), "left")
+
+
 def purge_expired(
     samples: DataFrame, rules: DataFrame, now: Column | datetime, default_ttl_s: int | None = None, **options
 ) -> DataFrame:

@@ -1,3 +1,3 @@
 """Importing this module registers every plan."""
 
-from pulsekit.plans import channels, streams_in_order  # noqa: F401
+from pulsekit.plans import channels, codec, streams_in_order  # noqa: F401
