@@ -119,6 +119,8 @@ def versioned_columns(
     """
     if replaced is None:
         replaced = replacements(samples, spec, scan)
+    # A handful of rows behind a scan of everything, asked for three times below.
+    replaced = replaced.persist()
     rows = with_versions(samples, replaced, scan.by, scan.order)
     is_struct = isinstance(samples.schema["value"].dataType, T.StructType)
     known = [c for c in ("type", "shape") if c in samples.columns]
