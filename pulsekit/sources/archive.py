@@ -127,7 +127,7 @@ def versioned_columns(
     keys = [c for c in (*scan.by, "channel") if c in replaced.columns]
     per_stream = replaced.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     changes = per_stream.groupBy("channel").agg(F.max("n").alias("n"))
-    columns = rows.groupBy("channel", "column").agg(*[F.first(c, ignorenulls=True).alias(c) for c in known])
+    columns = rows.select("channel", "column", *known).distinct()
     listed = {(r["channel"], r["column"]): r.asDict() for r in columns.collect()}
     for r in changes.collect():
         # A version that was replaced before it got any row still has its (empty) column.

@@ -6,7 +6,7 @@ import struct
 
 import numpy as np
 import pytest
-from conftest import rows
+from tests.conftest import rows
 from pyspark.sql import functions as F
 
 from pulsekit.functions import compression

@@ -1,4 +1,4 @@
-from conftest import rows
+from tests.conftest import rows
 
 from pulsekit.operators.continuity import continuity_stats, gap_report
 

@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from tests.conftest import rows
 from pyspark.sql import functions as F
 
 from pulsekit.operators.catalog import completeness
