@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import json
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import json as pj
 
 from pulsekit.functions.compression import pack, unpack
 from pulsekit.functions.types import COMPRESSIONS, WIRE_CODES, ChannelDef, type_name, value_slot
@@ -29,6 +31,52 @@ SLOT_TYPES = {
 
 # ---- headers ----
 
+_MAIN_HEADER = pa.schema(
+    [
+        ("pulse_id", pa.int64()),
+        ("hash", pa.string()),
+        ("dh_compression", pa.string()),
+        ("global_timestamp", pa.struct([("sec", pa.int64()), ("epoch", pa.int64()), ("ns", pa.int64())])),
+    ]
+)
+MAIN_HEADER_FIELDS = _MAIN_HEADER.names
+
+
+def parse_main_headers(parts: pa.Array) -> pa.StructArray:
+    """Main headers of a batch of messages; NULL fields where one is empty or broken."""
+    texts = parts.to_pylist()
+    try:
+        lines = b"\n".join(texts)
+        found = pj.read_json(
+            io.BytesIO(lines),
+            read_options=pj.ReadOptions(use_threads=False, block_size=len(lines) + 1),
+            parse_options=pj.ParseOptions(explicit_schema=_MAIN_HEADER, unexpected_field_behavior="ignore"),
+        )
+        if found.num_rows == len(texts):
+            return found.combine_chunks().to_struct_array().combine_chunks()
+    except (pa.ArrowException, TypeError):
+        pass
+    return pa.array([_main_header(text) for text in texts], pa.struct(list(_MAIN_HEADER)))
+
+
+def _main_header(text: bytes | None) -> dict:
+    """One header by itself, where the batch holds some that do not parse."""
+    try:
+        header = json.loads(text)
+        stamp = header.get("global_timestamp")
+        picked = {"global_timestamp": None}
+        if isinstance(stamp, dict):
+            picked["global_timestamp"] = {k: _typed(stamp.get(k), int) for k in ("sec", "epoch", "ns")}
+        picked["pulse_id"] = _typed(header.get("pulse_id"), int)
+        picked |= {k: _typed(header.get(k), str) for k in ("hash", "dh_compression")}
+        return picked
+    except Exception:  # not JSON, or not an object
+        return {}
+
+
+def _typed(value, kind: type):
+    return value if type(value) is kind else None
+
 
 def parse_data_header(data: bytes, compression: str | None) -> list[ChannelDef] | None:
     """Channel definitions of a data header, None when it cannot be read."""

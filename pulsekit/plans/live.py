@@ -62,15 +62,16 @@ def i2_stream_continuity(spark, sf_dir):
     return streams.continuity_totals(spark, f"{path}/totals").drop("hwm")
 
 
-# An incomplete pulse goes out once the watermark has passed it, so the newest ones stay in the stream's state.
-_ALIGN_CUT = "(SELECT max(recv_ts) FROM samples) - INTERVAL 2 HOUR"
+# At the smallest scale the samples of a pulse are hours apart, so the tolerance is a day. An incomplete pulse
+# goes out once the watermark has passed it, so the newest ones stay in the stream's state.
+_ALIGN_CUT = "(SELECT max(recv_ts) FROM samples) - INTERVAL 2 DAY"
 _CELLS = ", ".join(f"arg_max(value, arrival_seq) FILTER (channel = '{c}') AS {c}" for c in CHANNELS)
 
 
 def _settled(spark, sf_dir, aligned):
     """The pulses whose last sample is older than the cut."""
     samples = as_samples(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    newest = samples.groupBy().agg((F.max("recv_ts") - F.expr("INTERVAL 2 HOUR")).alias("_cut"))
+    newest = samples.groupBy().agg((F.max("recv_ts") - F.expr("INTERVAL 2 DAY")).alias("_cut"))
     last = samples.groupBy("pulse_id").agg(F.max("recv_ts").alias("_last"))
     settled = last.join(F.broadcast(newest), F.col("_last") < F.col("_cut"), "left_semi").select("pulse_id")
     return aligned.join(settled, "pulse_id", "left_semi")
@@ -82,7 +83,7 @@ def _settled(spark, sf_dir, aligned):
 SELECT pulse_id, {_CELLS} FROM samples GROUP BY pulse_id HAVING max(recv_ts) < {_ALIGN_CUT}""",
 )
 def i3_stream_align(spark, sf_dir):
-    stream = streams.stream_align(_live_samples(spark, sf_dir), CHANNELS, "1 hour")
+    stream = streams.stream_align(_live_samples(spark, sf_dir), CHANNELS, "1 day")
     return _settled(spark, sf_dir, _landed(spark, stream, "aligned"))
 
 
@@ -92,7 +93,7 @@ def i3_stream_align(spark, sf_dir):
 SELECT pulse_id, {_CELLS} FROM samples GROUP BY pulse_id HAVING max(recv_ts) < {_ALIGN_CUT}""",
 )
 def i3_stream_align_complete(spark, sf_dir):
-    stream = streams.stream_align_complete(_live_samples(spark, sf_dir), CHANNELS, "1 hour")
+    stream = streams.stream_align_complete(_live_samples(spark, sf_dir), CHANNELS, "1 day")
     return _settled(spark, sf_dir, _landed(spark, stream, "complete"))
 
 

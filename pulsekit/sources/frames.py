@@ -37,11 +37,12 @@ from pulsekit.operators.scan import OrderedScan
 FRAMES_SCHEMA = "stream_id string, arrival_seq bigint, recv_ts timestamp, parts array<binary>"
 
 _HEADER_SCHEMA = (
-    "htype string, pulse_id bigint, hash string, dh_compression string, "
+    "pulse_id bigint, hash string, dh_compression string, "
     "global_timestamp struct<sec: bigint, epoch: bigint, ns: bigint>"
 )
 # A data header without channels is shorter than this; longer ones need no second look.
 _BARE_HEADER_BYTES = 1024
+_NO_CHANNELS = r'"channels"\s*:\s*\[\s*\]'
 
 
 def read_frames(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
@@ -80,8 +81,7 @@ def decode_messages(frames: DataFrame) -> DataFrame:
     rows = with_headers(frames)
     first, second = F.get("parts", F.lit(0)), F.get("parts", F.lit(1))
     no_header = first.isNull() | (F.length(first) == 0) | (F.trim(first.cast("string")) == "{}")
-    listed = F.json_array_length(F.get_json_object(second.cast("string"), "$.channels"))
-    bare = (F.length(second) < _BARE_HEADER_BYTES) & (listed == 0)
+    bare = (F.length(second) < _BARE_HEADER_BYTES) & second.cast("string").rlike(_NO_CHANNELS)
     delivered = F.greatest(F.floor((F.size("parts") - 1) / 2).cast("int"), F.lit(0))
     n_channels = F.when(F.coalesce(bare, F.lit(False)), 0).otherwise(delivered)
     status = (
@@ -131,28 +131,47 @@ class _Parts:
         self.values = lists.values
         bounds = lists.offsets.to_numpy()
         self.starts = bounds[:-1].astype(np.int64)
-        self.sizes = np.diff(bounds)
+        self.sizes = np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(bounds), 0)
 
     def at(self, rows: np.ndarray, position: int) -> pa.Array:
         return pc.fill_null(self.values.take(pa.array(self.starts[rows] + position)), b"")
 
 
-def _by_header(
-    batch: pa.RecordBatch, parts: _Parts, cache: dict
-) -> Iterator[tuple[list[ChannelDef] | None, np.ndarray]]:
-    """The messages of a batch, grouped by data header; parsed headers are kept for later batches."""
-    rows = np.flatnonzero(parts.sizes > 1)
-    if not len(rows):
+class _Heads:
+    """The messages of a batch that have a usable main header, with its fields as columns."""
+
+    def __init__(self, batch: pa.RecordBatch, parts: _Parts):
+        rows = np.flatnonzero(parts.sizes > 1)
+        fields = dict(zip(wire.MAIN_HEADER_FIELDS, wire.parse_main_headers(parts.at(rows, 0)).flatten()))
+        usable = pc.and_(fields["pulse_id"].is_valid(), fields["hash"].is_valid())
+        self.rows = rows[usable.to_numpy(zero_copy_only=False)]
+        fields = {name: array.filter(usable) for name, array in fields.items()}
+        stamp = fields["global_timestamp"]
+        self.packing = pc.fill_null(fields["dh_compression"], "none")
+        picked = pa.array(self.rows)
+        self.columns = {
+            "stream_id": batch.column("stream_id").take(picked),
+            "arrival_seq": batch.column("arrival_seq").take(picked),
+            "pulse_id": fields["pulse_id"],
+            "header_hash": fields["hash"],
+            "global_sec": pc.coalesce(pc.struct_field(stamp, "sec"), pc.struct_field(stamp, "epoch")),
+            "global_ns": pc.struct_field(stamp, "ns"),
+        }
+
+
+def _by_header(heads: _Heads, parts: _Parts, cache: dict) -> Iterator[tuple[list[ChannelDef] | None, np.ndarray]]:
+    """Places in `heads`, grouped by data header; parsed data headers are kept for later batches."""
+    if not len(heads.rows):
         return
-    headers = parts.at(rows, 1).dictionary_encode()
-    packings = pc.fill_null(batch.column("dh_compression"), "none").take(pa.array(rows)).dictionary_encode()
+    headers = parts.at(heads.rows, 1).dictionary_encode()
+    packings = heads.packing.dictionary_encode()
     code = headers.indices.to_numpy() * len(packings.dictionary) + packings.indices.to_numpy()
     for key in np.unique(code):
         h, p = divmod(int(key), len(packings.dictionary))
         identity = (headers.dictionary[h].as_py(), packings.dictionary[p].as_py())
         if identity not in cache:
             cache[identity] = wire.parse_data_header(*identity)
-        yield cache[identity], rows[code == key]
+        yield cache[identity], np.flatnonzero(code == key)
 
 
 def _read_channel(parts: _Parts, rows: np.ndarray, ordinal: int, channel: ChannelDef):
@@ -185,14 +204,15 @@ def decode_frames(frames: DataFrame, channels: Iterable[str] | None = None) -> D
         cache: dict = {}
         for batch in batches:
             parts = _Parts(batch)
-            for defs, rows in _by_header(batch, parts, cache):
+            heads = _Heads(batch, parts)
+            for defs, places in _by_header(heads, parts, cache):
                 for ordinal, channel in enumerate(defs or ()):
                     if wanted is not None and channel.name not in wanted:
                         continue
-                    present = rows[parts.sizes[rows] > 2 + 2 * ordinal]
+                    present = places[parts.sizes[heads.rows[places]] > 2 + 2 * ordinal]
                     if not len(present):
                         continue
-                    slots, sec, ns, status = _read_channel(parts, present, ordinal, channel)
+                    slots, sec, ns, status = _read_channel(parts, heads.rows[present], ordinal, channel)
                     n, picked = len(present), pa.array(present)
                     shape = None if channel.shape is None else list(channel.shape)
                     columns = {
@@ -204,16 +224,11 @@ def decode_frames(frames: DataFrame, channels: Iterable[str] | None = None) -> D
                         "ts_ns": ns,
                         "status": wire.STATUS_NAMES.take(pa.array(status)),
                     }
-                    arrays = [columns[c] if c in columns else batch.column(c).take(picked) for c in names]
+                    arrays = [columns[c] if c in columns else heads.columns[c].take(picked) for c in names]
                     arrays = [a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, schema)]
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return _decodable(frames).mapInArrow(decode, SAMPLES_SCHEMA)
-
-
-def _decodable(frames: DataFrame) -> DataFrame:
-    rows = with_headers(frames).where("pulse_id IS NOT NULL AND header_hash IS NOT NULL")
-    return rows.select("stream_id", "arrival_seq", "pulse_id", "header_hash", "dh_compression", "parts")
+    return frames.select("stream_id", "arrival_seq", "parts").mapInArrow(decode, SAMPLES_SCHEMA)
 
 
 def decode_wide(frames: DataFrame, channels: Iterable[ChannelDef | dict]) -> DataFrame:
@@ -238,11 +253,13 @@ def decode_wide(frames: DataFrame, channels: Iterable[ChannelDef | dict]) -> Dat
         cache: dict = {}
         for batch in batches:
             parts = _Parts(batch)
-            for found, rows in _by_header(batch, parts, cache):
+            heads = _Heads(batch, parts)
+            for found, places in _by_header(heads, parts, cache):
                 if not found:
                     continue
+                rows = heads.rows[places]
                 place = {d.name: (i, d) for i, d in enumerate(found)}
-                arrays = [batch.column(f.name).take(pa.array(rows)) for f in meta]
+                arrays = [heads.columns[f.name].take(pa.array(places)) for f in meta]
                 for d in defs:
                     target = schema.field(d.name).type
                     column = pa.nulls(len(rows), target)
@@ -256,9 +273,7 @@ def decode_wide(frames: DataFrame, channels: Iterable[ChannelDef | dict]) -> Dat
                     arrays.append(column)
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    rows = with_headers(frames).where("pulse_id IS NOT NULL AND header_hash IS NOT NULL")
-    needed = [f.name for f in meta] + ["dh_compression", "parts"]
-    return rows.select(*needed).mapInArrow(decode, T.StructType(fields))
+    return frames.select("stream_id", "arrival_seq", "parts").mapInArrow(decode, T.StructType(fields))
 
 
 def frame_defs(frames: DataFrame) -> DataFrame:
@@ -472,15 +487,25 @@ def encode_frames(
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in out_fields])
 
     encoded = rows.mapInArrow(encode, T.StructType(out_fields))
-    fields = [F.lit(MAIN_HEADER_TYPE).alias("htype")]
-    if header_compression is not None:
-        fields.append(F.lit(header_compression).alias("dh_compression"))
-    fields += [
-        F.col("header_hash").alias("hash"),
-        F.col("pulse_id"),
-        F.struct(F.col("global_sec").alias("sec"), F.col("global_ns").alias("ns")).alias("global_timestamp"),
-    ]
-    main_header = F.encode(F.to_json(F.struct(*fields)), "UTF-8")
+    packing = "" if header_compression is None else f'"dh_compression":"{header_compression}",'
+    # Numbers and a hexadecimal hash need no escaping, and joining them is much cheaper than to_json.
+    stamp = F.concat(
+        F.lit(',"global_timestamp":{"sec":'),
+        F.col("global_sec").cast("string"),
+        F.lit(',"ns":'),
+        F.col("global_ns").cast("string"),
+        F.lit("}"),
+    )
+    main_header = F.concat(
+        F.lit(f'{{"htype":"{MAIN_HEADER_TYPE}",{packing}"hash":"'),
+        F.col("header_hash"),
+        F.lit('","pulse_id":'),
+        F.col("pulse_id").cast("string"),
+        F.coalesce(stamp, F.lit("")),
+        F.lit("}"),
+    )
+    # A row without a pulse id cannot be a message; it goes out with an empty header, and is found as such.
+    main_header = F.coalesce(main_header, F.lit("{}")).cast("binary")
     return encoded.select(
         "stream_id", "arrival_seq", "recv_ts", F.concat(F.array(main_header), F.col("_tail")).alias("parts")
     )
