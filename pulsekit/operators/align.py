@@ -58,9 +58,8 @@ def align_pulses(
 def one_per_pulse(df: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """The last arrival of each pulse."""
     rest = [c for c in df.columns if c != "pulse_id"]
-    row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    latest = df.where(F.col("pulse_id").isNotNull()).groupBy("pulse_id").agg(F.max_by(row, F.col(order)).alias("_row"))
-    return latest.select("pulse_id", "_row.*")
+    newest = [F.max_by(F.col(f"`{c}`"), F.col(order)).alias(c) for c in rest]
+    return df.where(F.col("pulse_id").isNotNull()).groupBy("pulse_id").agg(*newest)
 
 
 def merge_streams(

@@ -130,13 +130,9 @@ def verify_channels(
 
 
 def latest(samples: DataFrame, by: tuple[str, ...] = ("channel",), columns: Iterable[str] = ("value",)) -> DataFrame:
-    """The newest sample of each channel."""
-    columns = list(columns)
-    newest = samples.groupBy(*by).agg(
-        F.max("arrival_seq").alias("arrival_seq"),
-        F.max_by(F.struct(*columns), F.col("arrival_seq")).alias("_row"),
-    )
-    return newest.select(*by, "arrival_seq", "_row.*")
+    """The newest sample of each channel; a channel has one sample per arrival (see collapse_duplicates)."""
+    newest = [F.max_by(c, F.col("arrival_seq")).alias(c) for c in columns if c != "arrival_seq"]
+    return samples.groupBy(*by).agg(F.max("arrival_seq").alias("arrival_seq"), *newest)
 
 
 def derive_catalog(samples: DataFrame, defs: DataFrame) -> DataFrame:
