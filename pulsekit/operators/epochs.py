@@ -28,44 +28,35 @@ def schema_epochs(messages: DataFrame, scan: OrderedScan = OrderedScan()) -> Dat
     the message before it is settled on the summary.
     """
     local = scan.local()
-    rows = scan.bucketed(messages)
-    first = F.row_number().over(local) == 1
-    rows = rows.withColumn("_previous_hash", F.lag("header_hash").over(local)).withColumn("_first", first)
-    rows = rows.withColumn("_inner", F.when(~F.col("_first") & _changed(rows, "_previous_hash"), 1).otherwise(0))
+    rows = (
+        scan.bucketed(messages)
+        .withColumn("_previous_hash", F.lag("header_hash").over(local))
+        .withColumn("_first", F.row_number().over(local) == 1)
+    )
+    inner = ~F.col("_first") & _changed(rows, "_previous_hash")
+    rows = rows.withColumn("_inner", inner.cast("int")).drop("_previous_hash")
 
     with_channels = F.lit(True) if "n_channels" not in messages.columns else F.col("n_channels") > 0
-    summary = {
-        "_changes": F.sum("_inner"),
-        "_first_hash": F.max(F.when(F.col("_first"), F.col("header_hash"))),
-        "_first_counts": F.max(F.when(F.col("_first"), with_channels)),
-        "_last_hash": F.max_by("header_hash", scan.order),
-    }
-
-    def carry(s: DataFrame) -> dict[str, Column]:
-        return {
-            "_border": F.lag("_last_hash").over(scan.across()),
-            "_before": F.sum("_changes").over(scan.across_before()),
-        }
-
-    per_bucket = rows.groupBy(*scan.keys).agg(*[c.alias(n) for n, c in summary.items()])
-    per_bucket = per_bucket.select("*", *[c.alias(n) for n, c in carry(per_bucket).items()])
-    at_border = F.col("_first_counts") & ~F.col("_border").eqNullSafe(F.col("_first_hash"))
+    per_bucket = rows.groupBy(*scan.keys).agg(
+        F.sum("_inner").alias("_changes"),
+        F.max(F.when(F.col("_first"), F.col("header_hash"))).alias("_first_hash"),
+        F.max(F.when(F.col("_first"), with_channels)).alias("_first_counts"),
+        F.max_by("header_hash", scan.order).alias("_last_hash"),
+    )
+    border = F.lag("_last_hash").over(scan.across())
+    at_border = F.col("_first_counts") & ~border.eqNullSafe(F.col("_first_hash"))
     per_bucket = per_bucket.withColumn("_at_border", at_border.cast("int"))
     until_here = scan.across().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    given = per_bucket.select(
-        *scan.keys,
-        F.col("_at_border"),
-        (F.coalesce("_before", F.lit(0)) + F.sum("_at_border").over(until_here)).alias("_base"),
-    )
-    joined = rows.join(given, scan.keys, "left")
+    base = F.coalesce(F.sum("_changes").over(scan.across_before()), F.lit(0)) + F.sum("_at_border").over(until_here)
+    given = per_bucket.select(*scan.keys, "_at_border", base.alias("_base"))
+
     running = F.sum("_inner").over(scan.local_until())
+    changed = F.when(F.col("_first"), F.col("_at_border") == 1).otherwise(F.col("_inner") == 1)
     return (
-        joined.withColumn("epoch", (F.col("_base") + running).cast("bigint"))
-        .withColumn(
-            "format_changed",
-            F.when(F.col("_first"), F.col("_at_border") == 1).otherwise(F.col("_inner") == 1),
-        )
-        .drop("_previous_hash", "_first", "_inner", "_at_border", "_base", scan.bucket)
+        rows.join(given, scan.keys, "left")
+        .withColumn("epoch", (F.col("_base") + running).cast("bigint"))
+        .withColumn("format_changed", changed)
+        .drop("_first", "_inner", "_at_border", "_base", scan.bucket)
     )
 
 

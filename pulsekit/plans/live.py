@@ -71,9 +71,9 @@ _CELLS = ", ".join(f"arg_max(value, arrival_seq) FILTER (channel = '{c}') AS {c}
 def _settled(spark, sf_dir, aligned):
     """The pulses whose last sample is older than the cut."""
     samples = as_samples(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    newest = samples.groupBy().agg((F.max("recv_ts") - F.expr("INTERVAL 2 DAY")).alias("_cut"))
-    last = samples.groupBy("pulse_id").agg(F.max("recv_ts").alias("_last"))
-    settled = last.join(F.broadcast(newest), F.col("_last") < F.col("_cut"), "left_semi").select("pulse_id")
+    newest = samples.agg(F.max("recv_ts")).first()[0]
+    cut = F.lit(newest).cast("timestamp_ntz") - F.expr("INTERVAL 2 DAY")
+    settled = samples.groupBy("pulse_id").agg(F.max("recv_ts").alias("_last")).where(F.col("_last") < cut).select("pulse_id")
     return aligned.join(settled, "pulse_id", "left_semi")
 
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsekit.functions.timestamps import join_ts
 from pulsekit.functions.types import typed_value
 from pulsekit.operators.joins import lookup_join
+from pulsekit.operators.retention import purge_expired
 from pulsekit.operators.scan import OrderedScan
 from pulsekit.operators.select import META_COLUMNS
 
@@ -53,7 +56,11 @@ def write_channels(samples: DataFrame, path: str, mode: str = "error") -> None:
     Rows are rebalanced by channel before the write: few files for small channels, and several tasks for
     one that holds much of the data.
     """
-    rows = channel_rows(samples).hint("rebalance", "channel").sortWithinPartitions("channel", "pulse_id")
+    _write_by_channel(channel_rows(samples), path, mode)
+
+
+def _write_by_channel(rows: DataFrame, path: str, mode: str) -> None:
+    rows = rows.hint("rebalance", "channel").sortWithinPartitions("channel", "pulse_id")
     rows.write.mode(mode).partitionBy("channel").parquet(path)
 
 
@@ -63,6 +70,28 @@ def read_channels(spark: SparkSession, path: str, channels: Iterable[str] | None
     return rows if channels is None else rows.where(F.col("channel").isin(sorted(channels)))
 
 
+def purge_channels(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    rules: DataFrame,
+    now: datetime,
+    backend: str,
+    default_ttl_s: int | None = None,
+    mode: str = "error",
+) -> None:
+    """C6 on a per-channel archive: write what is still to be kept to a new place.
+
+    The old archive stays as it is until the new one is complete, whatever happens on the way. Rows without a
+    timestamp have no age and are kept.
+    """
+    stored = read_channels(spark, path)
+    dated = stored.withColumn("backend", F.lit(backend)).withColumn("ts", join_ts(F.col("timestamp"), F.col("timestamp_offset")))
+    key = [c for c in ("stream_id", "arrival_seq", "channel") if c in stored.columns]
+    kept = purge_expired(dated, rules, now, default_ttl_s, key=key)
+    _write_by_channel(kept.select(*stored.columns), out, mode)
+
+
 def align_schema(frames: Sequence[DataFrame], fill_null: int | float | None = None) -> DataFrame:
     """One table from parts that learned of their columns at different times.
 

@@ -279,33 +279,35 @@ def decode_wide(frames: DataFrame, channels: Iterable[ChannelDef | dict]) -> Dat
 def frame_defs(frames: DataFrame) -> DataFrame:
     """The channel definitions in use: one row per data header and position.
 
-    Messages are reduced to one header per hash before any header is parsed.
+    Each task names a header once, however many messages carry it, so next to nothing is shuffled.
     """
-    heads = (
-        with_headers(frames)
-        .where("header_hash IS NOT NULL AND size(parts) > 1")
-        .groupBy("header_hash")
-        .agg(F.min(F.struct(F.get("parts", F.lit(1)).alias("header"), "dh_compression")).alias("_h"))
-        .select("header_hash", "_h.*")
-    )
-    schema = (
-        "header_hash string, ordinal int, channel string, type string, shape array<int>, encoding string, "
-        "compression string"
-    )
+    fields = ["type", "shape", "encoding", "compression"]
+    schema = "header_hash string, ordinal int, channel string, type string, shape array<int>, encoding string, compression string"
+    types = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string(), pa.string()]
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict = {}
+        named: set = set()
         for batch in batches:
+            parts = _Parts(batch)
+            heads = _Heads(batch, parts)
             rows = []
-            for head in batch.to_pylist():
-                for i, d in enumerate(wire.parse_data_header(head["header"], head["dh_compression"]) or ()):
-                    shape = None if d.shape is None else list(d.shape)
-                    rows.append((head["header_hash"], i, d.name, type_name(d.type), shape, d.encoding, d.compression))
-            columns = list(zip(*rows)) or [()] * 7
-            types = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string(), pa.string()]
-            names = ["header_hash", "ordinal", "channel", "type", "shape", "encoding", "compression"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-
-    return heads.mapInArrow(parse, schema)
+            for defs, places in _by_header(heads, parts, cache):
+                for declared in heads.columns["header_hash"].take(pa.array(places)).unique().to_pylist():
+                    if defs is None or (declared, id(defs)) in named:
+                        continue
+                    named.add((declared, id(defs)))
+                    for i, d in enumerate(defs):
+                        shape = None if d.shape is None else list(d.shape)
+                        rows.append((declared, i, d.name, type_name(d.type), shape, d.encoding, d.compression))
+            if rows:
+                arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["header_hash", "ordinal", "channel", *fields])
+
+    heads_only = frames.select("stream_id", "arrival_seq", F.slice("parts", 1, 2).alias("parts"))
+    named = heads_only.mapInArrow(name, schema)
+    one = F.min(F.struct("channel", *fields)).alias("_def")
+    return named.groupBy("header_hash", "ordinal").agg(one).select("header_hash", "ordinal", "_def.*")
 
 
 # ---- parallel lists per message ----

@@ -208,6 +208,24 @@ def test_message_status(spark):
     assert fr.decode_frames(cases[4][0]).count() == fr.decode_frames(cases[6][0]).count() == fr.decode_frames(cases[8][0]).count() == 0
 
 
+def test_broken_headers_among_good_ones(spark):
+    good = sent(spark, [(i,) for i in range(20)], "a bigint")
+    bad = {3: b"", 5: b"{}", 7: b"no json", 9: b'{"pulse_id": "9", "hash": "x"}', 11: b"[1]", 13: b'{"hash": "x"}', 15: b"\n{\n}"}
+    spoilt = F.create_map(*[F.lit(x) for pair in bad.items() for x in pair])
+    head = F.coalesce(F.element_at(spoilt, F.col("arrival_seq").cast("int")), F.get("parts", F.lit(0)))
+    mixed = good.coalesce(1).withColumn("parts", F.concat(F.array(head), F.slice("parts", 2, 10)))
+    mixed = mixed.withColumn("parts", F.when(F.col("arrival_seq") != 17, F.col("parts")))
+    kept = sorted(set(range(20)) - set(bad) - {17})
+    assert sorted(r["i"] for r in fr.decode_frames(mixed).select("value.i").collect()) == kept
+    assert sorted(r["a"] for r in fr.decode_wide(mixed, [{"name": "a", "type": "int64"}]).select("a").collect()) == kept
+    states = dict(rows(fr.decode_messages(mixed), "arrival_seq", "status"))
+    assert {s for i, s in states.items() if i in kept} == {"ok"} and len(states) == 20
+    assert {i for i, s in states.items() if s == "empty_header"} == {3, 5, 17}
+    assert {i for i, s in states.items() if s == "bad_header"} == {7, 9, 11, 13, 15}
+    spaced = good.withColumn("parts", F.concat(F.array(F.lit(b'{\n "pulse_id": 4,\n "hash": "h", "global_timestamp": {"epoch": 5, "ns": 6}}')), F.slice("parts", 2, 10)))
+    assert spaced.count() == fr.decode_frames(spaced).where("pulse_id = 4 AND header_hash = 'h'").count() == 20
+
+
 def test_only_wanted_channels_are_decoded(spark):
     frames = sent(spark, [(1, 2.0, "x")], "a bigint, b double, c string")
     assert decoded_names(fr.decode_frames(frames, ["c", "a", "nope"])) == ["a", "c"]

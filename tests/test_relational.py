@@ -236,6 +236,19 @@ def test_per_channel_and_compact_archives(spark, tmp_path):
     assert wide.columns == ["pulse_id", "a:b", "c"] and wide.count() == 5
 
 
+def test_purge_of_an_archive(spark, tmp_path):
+    data = [("s", i, i, c, float(i), 1000 + i, 0) for i in range(20) for c in "ab"] + [("s", 99, 99, "a", None, None, None)]
+    df = spark.createDataFrame(data, "stream_id string, arrival_seq bigint, pulse_id bigint, channel string, value double, ts_sec bigint, ts_ns bigint")
+    archive.write_channels(df, str(tmp_path / "old"))
+    rules = retention.retention_rules(spark, [(["a"], 0, 9, timedelta(seconds=5)), (["a", "x/b"], 5, 6, timedelta(days=9))], "main")
+    archive.purge_channels(spark, str(tmp_path / "old"), str(tmp_path / "new"), rules, datetime(1970, 1, 1, 0, 16, 58), "main", 10)
+    kept = archive.read_channels(spark, str(tmp_path / "new"))
+    assert set(kept.columns) == set(archive.read_channels(spark, str(tmp_path / "old")).columns)
+    # It is second 1018; a pulse i dates from second 1000 + i.
+    expected = {("a", 99)} | {("a", i) for i in range(20) if i in (5, 6) or (i > 9)} | {("b", i) for i in range(20) if i > 8}
+    assert {(r.channel, r.pulse_id) for r in kept.collect()} == expected
+
+
 def versioned(spark, replaced_at):
     df = spark.range(100).selectExpr("'s' AS stream_id", "id AS arrival_seq", "'name' AS channel", "id AS value")
     replaced = spark.createDataFrame([("name", at) for at in replaced_at], "channel string, arrival_seq bigint")
