@@ -63,20 +63,16 @@ def schema_epochs(messages: DataFrame, scan: OrderedScan = OrderedScan()) -> Dat
 def tail_rows(df: DataFrame, n: int, scan: OrderedScan = OrderedScan()) -> DataFrame:
     """The last n messages of each stream that belong to its current schema.
 
-    The current schema is the end of the stream, so its last n rows are the stream's last n rows cut at
-    the newest format change: only that many rows per stream meet the small table of newest changes.
+    The current schema is the end of the stream, so its last n messages are the stream's last n, cut at
+    the newest format change among them. One message more tells whether the first of them is a change.
     """
-    slim = [*scan.by, scan.order, "header_hash"] + (["n_channels"] if "n_channels" in df.columns else [])
-    newest_change = (
-        format_changes(df.select(*slim), scan)
-        .where("format_changed")
-        .groupBy(*scan.by)
-        .agg(F.max(scan.order).alias("_since"))
-    )
-    newest_first = Window.partitionBy(*scan.by).orderBy(F.desc(scan.order))
-    tail = df.withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") <= n).drop("_rank")
-    current = tail.join(newest_change, list(scan.by), "left")
-    return current.where(F.col(scan.order) >= F.coalesce("_since", F.col(scan.order))).drop("_since")
+    in_order = Window.partitionBy(*scan.by).orderBy(scan.order)
+    stream = Window.partitionBy(*scan.by)
+    rows = scan.last(df, n + 1, "_rank").withColumn("_previous_hash", F.lag("header_hash").over(in_order))
+    change = F.when(_changed(rows, "_previous_hash") & (F.col("_rank") <= n), F.col(scan.order))
+    rows = rows.withColumn("_since", F.max(change).over(stream))
+    current = (F.col("_rank") <= n) & (F.col(scan.order) >= F.coalesce("_since", F.col(scan.order)))
+    return rows.where(current).drop("_rank", "_since", "_previous_hash")
 
 
 def trailing(df: DataFrame, column: str, n: int = 10, scan: OrderedScan = OrderedScan(), out: str = "trail") -> DataFrame:

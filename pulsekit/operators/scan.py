@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from pulsekit.operators.joins import lookup_join
+
 BUCKET_ROWS = 1_000_000
 
 
@@ -122,6 +124,20 @@ class OrderedScan:
         local = F.lag(value).over(self.local())
         return rows.withColumn(out, F.coalesce(local, F.col("_carry"))).drop("_carry", self.bucket)
 
+    def last(self, df: DataFrame, n: int, rank: str) -> DataFrame:
+        """The last n rows of each stream, ranked from 1 for the newest.
+
+        Row counts per bucket say which buckets hold them; only those are sorted.
+        """
+        bucketed = self.bucketed(df)
+        newer = self.across().rowsBetween(1, Window.unboundedFollowing)
+        counts = bucketed.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
+        needed = counts.withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where(F.col("_newer") < n)
+        rows = lookup_join(bucketed, needed.select(*self.keys), self.keys, [self.order], "left_semi")
+        newest_first = Window.partitionBy(*self.by).orderBy(F.desc(self.order))
+        ranked = rows.drop(self.bucket).withColumn(rank, F.row_number().over(newest_first))
+        return ranked.where(F.col(rank) <= n)
+
     def with_halo(self, df: DataFrame, columns: Sequence[str], n: int, flag: str = "_halo") -> DataFrame:
         """Bucketed rows plus, in each bucket, copies of the `n` rows before it, flagged as halo.
 
