@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,7 +122,10 @@ def with_versions(
     The changes of a channel, at most 99, travel to its samples as one sorted array.
     """
     keys = [c for c in (*by, "channel") if c in replaced.columns]
-    changes = replaced.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_changes"))
+    # One change more than allowed is enough to know that there are too many.
+    ranked = replaced.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    kept = ranked.where(F.col("_rank") <= MAX_VERSIONS + 1)
+    changes = kept.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_changes"))
     too_many = F.concat(F.lit("column "), F.col("channel"), F.lit(f" replaced more than {MAX_VERSIONS} times"))
     checked = F.when(F.size("_changes") > MAX_VERSIONS, F.raise_error(too_many).cast("array<bigint>")).otherwise(F.col("_changes"))
     changes = changes.withColumn("_changes", checked)
@@ -156,9 +159,13 @@ def versioned_columns(
     keys = [c for c in (*scan.by, "channel") if c in replaced.columns]
     per_stream = replaced.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     changes = per_stream.groupBy("channel").agg(F.max("n").alias("n"))
+    counted = changes.collect()
+    for r in counted:
+        if r["n"] > MAX_VERSIONS:
+            raise ValueError(f"column {r['channel']} replaced more than {MAX_VERSIONS} times")
     columns = rows.select("channel", "column", *known).distinct()
     listed = {(r["channel"], r["column"]): r.asDict() for r in columns.collect()}
-    for r in changes.collect():
+    for r in counted:
         # A version that was replaced before it got any row still has its (empty) column.
         for v in range(1, r["n"] + 1):
             listed.setdefault((r["channel"], f"{r['channel']}({v})"), {})

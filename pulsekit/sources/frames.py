@@ -40,6 +40,8 @@ _HEADER_SCHEMA = (
     "pulse_id bigint, hash string, dh_compression string, "
     "global_timestamp struct<sec: bigint, epoch: bigint, ns: bigint>"
 )
+# Parsed headers a task keeps at a time.
+_KNOWN_HEADERS = 1000
 # A data header without channels is shorter than this; longer ones need no second look.
 _BARE_HEADER_BYTES = 1024
 _NO_CHANNELS = r'"channels"\s*:\s*\[\s*\]'
@@ -170,10 +172,17 @@ def _by_header(heads: _Heads, parts: _Parts, cache: dict) -> Iterator[tuple[list
         h, p = divmod(int(key), len(packings.dictionary))
         identity = (headers.dictionary[h].as_py(), packings.dictionary[p].as_py())
         if identity not in cache:
+            _make_room(cache)
             cache[identity] = wire.parse_data_header(*identity)
         yield cache[identity], np.flatnonzero(code == key)
 
 
+def _make_room(known: dict | set) -> None:
+    """A stream that changes its header all the time must not fill a task's memory with old ones."""
+    if len(known) >= _KNOWN_HEADERS:
+        known.clear()
+
+
 def _read_channel(parts: _Parts, rows: np.ndarray, ordinal: int, channel: ChannelDef):
     """Value slots, seconds, nanoseconds and status of one channel over the given messages."""
     position = 2 + 2 * ordinal
@@ -294,9 +303,10 @@ def frame_defs(frames: DataFrame) -> DataFrame:
             rows = []
             for defs, places in _by_header(heads, parts, cache):
                 for declared in heads.columns["header_hash"].take(pa.array(places)).unique().to_pylist():
-                    if defs is None or (declared, id(defs)) in named:
+                    if defs is None or (declared, tuple(defs)) in named:
                         continue
-                    named.add((declared, id(defs)))
+                    _make_room(named)
+                    named.add((declared, tuple(defs)))
                     for i, d in enumerate(defs):
                         shape = None if d.shape is None else list(d.shape)
                         rows.append((declared, i, d.name, type_name(d.type), shape, d.encoding, d.compression))
@@ -530,6 +540,7 @@ def _headers_of(
     for kind in kinds:
         key = tuple(int(size) for size in kind)
         if key not in cache:
+            _make_room(cache)
             shapes = dict(zip(open_shapes, key))
             shaped = [
                 ChannelDef(d.name, d.type, (shapes[i],), d.encoding, d.compression) if i in shapes else d

@@ -241,6 +241,13 @@ def test_arrays_of_open_size_change_the_header(spark):
     assert [v for _, v, _ in decoded(frames)] == [[1, 2], [1, 2, 3], [4, 5]]
 
 
+def test_more_headers_than_a_task_keeps(spark):
+    frames = sent(spark, [([0] * (1 + i % 1100),) for i in range(2300)], "a array<tinyint>").coalesce(1)
+    sizes = fr.decode_frames(frames).select(F.coalesce(F.size("value.ai"), F.lit(1)).alias("n"), "arrival_seq", "status")
+    assert sizes.where("status <> 'ok' OR abs(n) <> 1 + arrival_seq % 1100").where("arrival_seq % 1100 <> 0").count() == 0
+    assert fr.frame_defs(frames).count() == 1100
+
+
 def test_spec_inference(spark):
     schema = "a bigint, b double, c string, d array<bigint>, e array<double>, f array<float>, g float, h boolean, i smallint"
     df = spark.createDataFrame([(1, 1.2, "t", [1, 2, 3], [1.0] * 4, [1.0] * 2, 1.0, True, 5)] * 2, schema)
