@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pulsekit.plans.registry import PLANS, SQL
 from tools.check_oracle import TABLES, other_type, rows_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -21,10 +22,10 @@ def sql():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(PLANS))
 def test_plan(spark, sql, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    cursor = sql.execute(entry.oracle_sql()[name])
+    df = PLANS[name](spark, SF_DIR)
+    cursor = sql.execute(SQL[name])
     columns = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
     assert sorted(df.columns) == sorted(columns)
@@ -37,4 +38,5 @@ def test_entry(spark):
 
 
 def test_every_plan_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(PLANS) == set(SQL)
+    assert set(PLANS) <= set(entry.queries())
