@@ -13,11 +13,10 @@ import struct
 import numpy as np
 import pyarrow as pa
 
-# Fixed values of the packed layout: aimed block size in bytes, least block size in elements, and the
-# number of elements a block is a multiple of.
-_BLOCK_BYTES = 8192
-_BLOCK_LEAST = 128
+# Bits are transposed for eight elements at a time, a fixed value of the layout.
 _BLOCK_UNIT = 8
+# Elements per block we write. Readers take any: the size travels in the part.
+_BLOCK_ELEMENTS = 1024
 
 
 def _lz4(data: bytes) -> bytes:
@@ -28,10 +27,6 @@ def _unlz4(data: bytes, size: int) -> bytes:
     return pa.decompress(data, decompressed_size=size, codec="lz4_raw", asbytes=True)
 
 
-def block_elements(width: int) -> int:
-    return max(_BLOCK_BYTES // width // _BLOCK_UNIT * _BLOCK_UNIT, _BLOCK_LEAST)
-
-
 def unpack(data: bytes, compression: str | None, code: str) -> bytes:
     """The plain bytes of a part; raises on damaged data."""
     if compression in (None, "none"):
@@ -89,7 +84,7 @@ def _unpack_bitshuffle(data: bytes, width: int) -> bytes:
 
 
 def _pack_bitshuffle(data: bytes, width: int) -> bytes:
-    n, block = len(data) // width, block_elements(width)
+    n, block = len(data) // width, _BLOCK_ELEMENTS
     out, at = [struct.pack(">qi", len(data), block * width)], 0
     for elements in _blocks(n, block):
         rows = np.frombuffer(data, np.uint8, elements * width, at).reshape(elements, width)

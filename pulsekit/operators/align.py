@@ -15,11 +15,11 @@ from pulsekit.operators.joins import lookup_join
 _NS = 1_000_000_000
 
 
-def wide_value(samples: DataFrame, channel: ChannelDef) -> Column:
-    """The value of one channel: the right slot of a value struct, or the plain value column."""
+def _slot(samples: DataFrame, channel: ChannelDef, value: Column) -> Column:
+    """The value of one channel: the right slot of a value struct, or the plain value."""
     if isinstance(samples.schema["value"].dataType, T.StructType) and "ai" in samples.schema["value"].dataType.names:
-        return typed_value(F.col("value"), channel.type, channel.shape)
-    return F.col("value")
+        return typed_value(value, channel.type, channel.shape)
+    return value
 
 
 def align_pulses(
@@ -29,21 +29,20 @@ def align_pulses(
 ) -> DataFrame:
     """One row per pulse with a column per channel, NULL where the channel had nothing.
 
-    A channel that came twice for a pulse counts with its last arrival. One shuffle by pulse; the
-    aggregation combines before it, so a pulse id that many messages share stays small.
-    With `ts_sec`/`ts_ns` present the row also gets the earliest of its samples' times.
+    A channel that came twice for a pulse counts with its last arrival. Samples shrink to one cell per pulse and channel,
+    which combines before the shuffle, and the cells of a pulse to one map, so the work grows with the samples and the
+    cells of the result, not with samples times channels. With `ts_sec`/`ts_ns` present the row also gets the
+    earliest of its samples' times.
     """
     defs = [ChannelDef.of(c) for c in channels]
     wanted = samples.where(F.col("channel").isin([d.name for d in defs]))
-    cells = []
-    for d in defs:
-        mine = F.col("channel") == d.name
-        value = F.when(mine, wide_value(samples, d))
-        cells.append(F.max_by(value, F.when(mine, F.col("arrival_seq"))).alias(d.name))
-    times = []
-    if {"ts_sec", "ts_ns"} <= set(samples.columns):
-        times = [F.min(F.col("ts_sec") * _NS + F.col("ts_ns")).alias("_time")]
-    wide = wanted.groupBy(*by).agg(*times, *cells)
+    timed = {"ts_sec", "ts_ns"} <= set(samples.columns)
+    times = [F.min(F.col("ts_sec") * _NS + F.col("ts_ns")).alias("_time")] if timed else []
+    cells = wanted.groupBy(*by, "channel").agg(F.max_by("value", "arrival_seq").alias("_value"), *times)
+    times = [F.min("_time").alias("_time")] if timed else []
+    held = cells.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("channel", "_value"))).alias("_cells"), *times)
+    values = [_slot(samples, d, F.element_at("_cells", F.lit(d.name))).alias(d.name) for d in defs]
+    wide = held.select(*by, *(["_time"] if timed else []), *values)
     if times:
         ns = F.pmod(F.col("_time"), F.lit(_NS).cast("bigint"))
         wide = wide.select(
@@ -56,10 +55,10 @@ def align_pulses(
 
 
 def one_per_pulse(df: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """The last arrival of each pulse."""
+    """The last arrival of each pulse; messages without a pulse id count as one pulse, NULL."""
     rest = [c for c in df.columns if c != "pulse_id"]
     newest = [F.max_by(F.col(f"`{c}`"), F.col(order)).alias(c) for c in rest]
-    return df.where(F.col("pulse_id").isNotNull()).groupBy("pulse_id").agg(*newest)
+    return df.groupBy("pulse_id").agg(*newest)
 
 
 def merge_streams(
@@ -67,8 +66,8 @@ def merge_streams(
 ) -> DataFrame:
     """Two separately received streams side by side, one row per pulse.
 
-    Each side is reduced to the last arrival per pulse first: that bounds the result at one row per
-    pulse, and its shuffle by pulse is the one the join needs.
+    Each side is reduced to the last arrival per pulse first, which bounds the result at one row per pulse. A NULL
+    pulse is a pulse like any other, here as in `align_pulses`.
     """
     if how not in ("inner", "left", "outer", "full"):
         raise ValueError(f"how must be inner, left or outer, not {how!r}")
@@ -76,14 +75,15 @@ def merge_streams(
     for df, other, suffix in ((a, b, suffixes[0]), (b, a, suffixes[1])):
         renamed = {c: f"{c}{suffix}" for c in df.columns if c != "pulse_id" and c in other.columns}
         sides.append(one_per_pulse(df).withColumnsRenamed(renamed))
-    return sides[0].join(sides[1], "pulse_id", how)
+    right = sides[1].withColumnRenamed("pulse_id", "_pulse")
+    joined = sides[0].join(right, F.col("pulse_id").eqNullSafe(F.col("_pulse")), how)
+    return joined.withColumn("pulse_id", F.coalesce("pulse_id", "_pulse")).drop("_pulse")
 
 
-def with_channel_defs(samples: DataFrame, defs: DataFrame, **sizes: int) -> DataFrame:
+def with_channel_defs(samples: DataFrame, defs: DataFrame) -> DataFrame:
     """Each sample with the definition its header gives for its position."""
     new = [c for c in defs.columns if c not in samples.columns or c in ("header_hash", "ordinal")]
-    spread = [c for c in ("stream_id", "arrival_seq", "pulse_id") if c in samples.columns]
-    return lookup_join(samples, defs.select(*new), ["header_hash", "ordinal"], spread, **sizes)
+    return lookup_join(samples, defs.select(*new), ["header_hash", "ordinal"])
 
 
 def collapse_duplicates(samples: DataFrame) -> DataFrame:

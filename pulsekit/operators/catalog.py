@@ -82,7 +82,7 @@ def gcd(a: Column, b: Column) -> Column:
 
 def lcm(a: Column, b: Column) -> Column:
     """Least common multiple of two positive whole numbers."""
-    return (a / gcd(a, b)).cast("bigint") * b
+    return F.call_function("div", a, gcd(a, b)) * b
 
 
 def verify_channels(
@@ -117,7 +117,12 @@ def verify_channels(
     joined = wanted.join(offered, "channel", "left").join(live, "channel", "left")
     effective = F.col("requested_modulo")
     if resolution == "adjust-individual":
-        effective = F.coalesce(lcm(F.col("requested_modulo"), F.col("source_modulo")), effective)
+        # the steps of the division run once per pair of rates, not once per row
+        rates = ["requested_modulo", "source_modulo"]
+        pairs = joined.where("source_modulo IS NOT NULL").select(*rates).distinct()
+        pairs = pairs.withColumn("_lcm", lcm(F.col("requested_modulo"), F.col("source_modulo")))
+        joined = joined.join(pairs, rates, "left")
+        effective = F.coalesce("_lcm", effective)
     return joined.select(
         "channel",
         F.col("source_modulo").isNotNull().alias("available"),
@@ -188,14 +193,14 @@ def completeness(
         .agg(F.min(scan.order).alias(scan.order))
     )
 
+    # messages up to the complete one: counted where they are, distinct before the shuffle, none sorted
     source = samples if messages is None else messages
-    arrivals = source.groupBy(*stream, scan.order).agg(F.min("recv_ts").alias("recv_ts"))
-    counted = scan.index(arrivals, "_idx").join(done.withColumn("_done", F.lit(True)), [*stream, scan.order])
-    found = counted.select(*stream, F.col(scan.order).alias("complete_seq"), (F.col("_idx") + 1).alias("messages"), F.col("recv_ts").alias("_at"))
-    begun = source.groupBy(*stream).agg(F.min_by("recv_ts", scan.order).alias("_since"))
-    return begun.join(found, stream, "left").select(
-        *stream,
-        "complete_seq",
-        "messages",
-        F.timestamp_diff("MICROSECOND", F.col("_since"), F.col("_at")).alias("elapsed_us"),
+    marked = source.join(done.withColumnRenamed(scan.order, "_done"), stream, "left")
+    at = F.col(scan.order)
+    return marked.groupBy(*stream).agg(
+        F.max("_done").alias("complete_seq"),
+        F.nullif(F.count_distinct(F.when(at <= F.col("_done"), at)), F.lit(0)).alias("messages"),
+        F.timestamp_diff(
+            "MICROSECOND", F.min_by("recv_ts", scan.order), F.min(F.when(at == F.col("_done"), F.col("recv_ts")))
+        ).alias("elapsed_us"),
     )

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from pulsekit.operators.scan import OrderedScan
 
-# Missing ids are listed in runs of this length, so that no array grows with the size of a gap.
-_RUN = 100_000
+# Missing ids are listed in runs of runs, so that no array grows with the size of a gap.
+_RUNS = (10**15, 10**10, 10**5, 1)
 
 
 def classify(messages: DataFrame) -> DataFrame:
     """Compare each pulse with `hwm`, the highest pulse before it, and name and count the outcome.
 
-    A stream without a previous pulse, or whose highest pulse is still 0, counts nothing.
+    A stream without a previous pulse, or whose highest pulse is still 0, counts nothing. A message without a pulse id is
+    of kind "no_pulse" and counts nothing either.
     """
     p, hwm = F.col("pulse_id"), F.col("hwm")
     counting = hwm.isNotNull() & (hwm != 0)
@@ -22,7 +23,8 @@ def classify(messages: DataFrame) -> DataFrame:
     return (
         messages.withColumn(
             "kind",
-            F.when(~counting, "first")
+            F.when(p.isNull(), "no_pulse")
+            .when(~counting, "first")
             .when(p == hwm + 1, "ok")
             .when(p == hwm, "duplicated")
             .when(p > hwm, "missed")
@@ -71,11 +73,12 @@ def gap_report(messages: DataFrame, scan: OrderedScan = OrderedScan(), ids: bool
     if not ids:
         return gaps
     last = F.col("received") - 1
-    return (
-        gaps.withColumn("_run", F.explode(F.sequence("expected", last, F.lit(_RUN).cast("bigint"))))
-        .withColumn("missing_id", F.explode(F.sequence("_run", F.least(F.col("_run") + _RUN - 1, last))))
-        .drop("_run")
-    )
+    ids_, whole = gaps.withColumn("missing_id", F.col("expected")), None
+    for step in _RUNS:
+        end = last if whole is None else F.col("missing_id") + F.least(F.lit(whole - 1), last - F.col("missing_id"))
+        ids_ = ids_.withColumn("missing_id", F.explode(F.sequence("missing_id", end, F.lit(step).cast("bigint"))))
+        whole = step
+    return ids_
 
 
 def idle_gaps(messages: DataFrame, timeout_ms: int, scan: OrderedScan = OrderedScan()) -> DataFrame:

@@ -5,38 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A lookup table is broadcast up to this many rows; its size is counted before.
-BROADCAST_ROWS = 200_000
-# Beyond that, each key of the large side is spread over this many tasks.
-SALTS = 32
 
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Is the table this small? Stops counting one row beyond the limit."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    spread: Sequence[str],
-    how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join `small` to `big`: broadcast when it is counted small, else a shuffle join with salted keys.
-
-    `spread` are columns of `big` that tell rows of one key apart; a key holding a third of all rows is
-    split over `salts` tasks by their hash, against as many copies of the small side.
+def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join `small` to `big`. Nothing is counted or hinted: Spark knows the sizes when it runs the join, broadcasts a
+    side that is small in bytes, and splits a key that turns out to hold too much.
     """
     if how not in ("left", "inner", "left_semi"):
-        raise ValueError(f"a salted lookup cannot be a {how} join")
-    if has_at_most(small, broadcast_rows):
-        return big.join(F.broadcast(small), list(on), how)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = big.withColumn("_salt", salt).join(copies, [*on, "_salt"], how)
-    return joined.drop("_salt")
+        raise ValueError(f"a lookup cannot be a {how} join")
+    return big.join(small, list(on), how)

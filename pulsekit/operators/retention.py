@@ -5,20 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.timestamps import epoch_micros, join_ts
-from pulsekit.operators.joins import lookup_join
+from pulsekit.sources.scratch import scratch_dir
 
 RULES_SCHEMA = (
     "rule_seq bigint, backend string, channel string, start_pulse bigint, end_pulse bigint, "
     "start_ts timestamp_ntz, end_ts timestamp_ntz, ttl_s bigint"
 )
 
-# Up to this many filed rules are broadcast, and no sample is shuffled.
-INLINE_RULES = 100_000
-
 
 def ttl_rule(
     rule_seq: int, channels: Iterable[str], start: int | datetime, end: int | datetime, ttl: timedelta, backend: str
@@ -48,133 +45,115 @@ def retention_rules(spark: SparkSession, updates: Sequence[tuple], backend: str)
     return spark.createDataFrame(rows, RULES_SCHEMA)
 
 
-def _spans(rules: DataFrame) -> DataFrame:
-    """Rules as inclusive whole-number ranges on the pulse axis ("p") or the time axis ("t", microseconds).
+def _micros(ts: Column) -> Column:
+    return epoch_micros(ts.cast("timestamp_ntz"), ntz=True)
 
-    Each range is filed under the blocks it touches, of a width that suits its length: `level` is the
-    width in bits, in steps of two, and a range touches two blocks of it, or one. A sample therefore has one
-    block to look in per level in use, however many rules its channel has.
-    """
+
+_KEYS = ["axis", "backend", "channel"]
+# Levels of the tree of ranks below: four to the power of it is more than a channel can have rules.
+_RANK_LEVELS = 16
+
+
+def _ranges(rules: DataFrame) -> DataFrame:
+    """Rules as whole-number ranges [lo, end) on the pulse axis ("p") or the time axis ("t", microseconds)."""
     entries = F.array(
         F.struct(F.lit("p").alias("axis"), F.col("start_pulse").alias("lo"), F.col("end_pulse").alias("hi")),
         F.struct(F.lit("t").alias("axis"), _micros(F.col("start_ts")).alias("lo"), _micros(F.col("end_ts")).alias("hi")),
     )
-    ranges = (
-        rules.select("rule_seq", "backend", "channel", "ttl_s", F.explode(entries).alias("_entry"))
-        .select("rule_seq", "backend", "channel", "ttl_s", "_entry.*")
-        .where("lo <= hi")
-    )
-    bits = F.log2(F.greatest(F.col("hi").cast("double") - F.col("lo").cast("double"), F.lit(1.0)))
-    level = F.least(F.ceil(bits / 2) * 2, F.lit(60)).cast("int")
-    leveled = ranges.withColumn("level", level)
-    return leveled.withColumn("block", F.explode(F.sequence(F.expr("lo >> level"), F.expr("hi >> level"))))
+    ranges = rules.select("rule_seq", "backend", "channel", "ttl_s", F.explode(entries).alias("_entry"))
+    end = F.least(F.col("_entry.hi"), F.lit(2**63 - 2)) + 1
+    return ranges.select("rule_seq", "backend", "channel", "ttl_s", "_entry.axis", "_entry.lo", end.alias("end")).where("lo < end")
 
 
-def _micros(ts: Column) -> Column:
-    return epoch_micros(ts.cast("timestamp_ntz"), ntz=True)
+def _segments(rules: DataFrame) -> DataFrame:
+    """Disjoint ranges [lo, hi] per axis, backend and channel, each with the newest rule that covers it.
 
-
-def apply_retention(
-    samples: DataFrame,
-    rules: DataFrame,
-    default_ttl_s: int | None = None,
-    key: Sequence[str] = ("stream_id", "arrival_seq", "ordinal"),
-    inline_rules: int = INLINE_RULES,
-) -> DataFrame:
-    """Each sample with the ttl of the latest rule that covers it, and `expires_at`.
-
-    Bounds are inclusive. Samples need `backend`, `channel`, `pulse_id` and `ts` (or the second/nanosecond
-    pair). The rules are counted first. Up to `inline_rules` of them are broadcast by block and samples are
-    neither shuffled nor multiplied. Beyond that samples and rules meet in a salted shuffle join by block,
-    the latest match of each `key` is found, and its ttl is joined back.
+    The bounds of a channel's rules are ranked. A rule is cut into the few aligned blocks of ranks that make it up, of each
+    block only its newest rule is kept, and the stretch between two bounds takes the newest rule of the blocks around it.
+    Only rules are shuffled here; of rules with the same number the longer ttl counts.
     """
-    if "ts" not in samples.columns:
-        samples = samples.withColumn("ts", join_ts(F.col("ts_sec"), F.col("ts_ns")))
-    spans = _spans(rules)
-    levels, n_rules = _levels(spans)
-    if not levels:
-        found = samples.withColumn("_ttl", F.lit(None).cast("bigint"))
-    elif n_rules <= inline_rules:
-        found = _by_broadcast(samples, spans, levels)
-    else:
-        found = _by_shuffle(samples, spans, levels, key)
-    return (
-        found.withColumn("ttl_s", F.coalesce("_ttl", F.lit(default_ttl_s).cast("bigint")))
-        .drop("_ttl")
-        .withColumn("expires_at", F.col("ts") + F.make_dt_interval(secs=F.col("ttl_s").cast("decimal(18,6)")))
+    ranges = _ranges(rules)
+    bounds = ranges.select(*_KEYS, F.explode(F.array("lo", "end")).alias("at")).distinct()
+    in_order = Window.partitionBy(*_KEYS).orderBy("at")
+    bounds = bounds.withColumn("rank", F.row_number().over(in_order) - 1).withColumn("next", F.lead("at").over(in_order))
+    rank = lambda bound: bounds.select(*_KEYS, F.col("at").alias(bound), F.col("rank").cast("bigint").alias(f"_{bound}"))
+    ranked = ranges.join(rank("lo"), [*_KEYS, "lo"]).join(rank("end"), [*_KEYS, "end"])
+    levels = F.explode(F.sequence(F.lit(0), F.lit(_RANK_LEVELS - 1))).alias("level")
+    up = lambda c, level: F.expr(f"-(-{c} >> (2 * ({level})))")  # noqa: E731  rounded up
+    down = lambda c, level: F.expr(f"{c} >> (2 * ({level}))")
+    cut = ranked.select(*_KEYS, "rule_seq", "ttl_s", "_lo", "_end", levels)
+    cut = cut.withColumn("a", up("_lo", "level")).withColumn("b", down("_end", "level")).where("a < b")
+    cut = cut.withColumn("pa", up("_lo", "level + 1") * 4).withColumn("pb", down("_end", "level + 1") * 4)
+    # what the next level covers is left to it
+    whole = F.sequence(F.col("a"), F.col("b") - 1)
+    outside = F.filter(
+        F.concat(
+            F.sequence(F.col("a"), F.least(F.col("a") + 3, F.col("b") - 1)), F.sequence(F.greatest(F.col("b") - 4, F.col("a")), F.col("b") - 1)
+        ),
+        lambda n: (n < F.col("pa")) | (n >= F.col("pb")),
     )
+    blocks = F.array_distinct(F.when(F.col("pa") < F.col("pb"), outside).otherwise(whole))
+    nodes = cut.withColumn("block", F.explode(blocks)).groupBy(*_KEYS, "level", "block")
+    nodes = nodes.agg(F.max(F.struct("rule_seq", "ttl_s")).alias("rule"))
+    stretches = bounds.where("next IS NOT NULL").select(*_KEYS, "rank", "at", "next", levels)
+    stretches = stretches.withColumn("block", F.expr("CAST(rank AS BIGINT) >> (2 * level)"))
+    found = stretches.join(nodes, [*_KEYS, "level", "block"]).groupBy(*_KEYS, "at", "next").agg(F.max("rule").alias("rule"))
+    return found.select(*_KEYS, F.col("at").alias("lo"), (F.col("next") - 1).alias("hi"), "rule.rule_seq", "rule.ttl_s")
 
 
-def _levels(spans: DataFrame) -> tuple[list[tuple[str, int]], int]:
-    """The (axis, level) pairs in use, at most 62, and the number of filed rules."""
-    rows = spans.groupBy("axis", "level").agg(F.count(F.lit(1)).alias("n")).collect()
-    return sorted((r["axis"], r["level"]) for r in rows), sum(r["n"] for r in rows)
+def _filed(segments: DataFrame) -> DataFrame:
+    """Segments filed under blocks of a width that suits their length.
 
+    `level` is the width in bits, in steps of six, and a segment touches two blocks of it, or one. Segments are disjoint
+    and no shorter than a 64th of their block, so a block holds 66 at most. The table is written: every level reads it.
+    """
+    bits = F.log2(F.greatest(F.col("hi").cast("double") - F.col("lo").cast("double"), F.lit(1.0)))
+    leveled = segments.withColumn("level", F.least(F.ceil(bits / 6) * 6, F.lit(60)).cast("int"))
+    blocked = leveled.withColumn("block", F.explode(F.sequence(F.expr("lo >> level"), F.expr("hi >> level"))))
+    rule = F.struct("rule_seq", "ttl_s", "lo", "hi")
+    filed = blocked.groupBy(*_KEYS, "level", "block").agg(F.collect_list(rule).alias("_filed"))
+    path = scratch_dir(segments.sparkSession, "rules")
+    filed.write.parquet(path)
+    return segments.sparkSession.read.schema(filed.schema).parquet(path)
 
-def _positions(samples: DataFrame) -> DataFrame:
-    return samples.withColumn("_p", F.col("pulse_id").cast("bigint")).withColumn("_t", _micros(F.col("ts")))
 
+def _covering(at: Column) -> Column:
+    return F.filter("_filed", lambda r: at.between(r["lo"], r["hi"]))
 
-def _block_of(axis: str, level: int) -> Column:
-    return F.shiftright(F.col(f"_{axis}"), level)
 
+def apply_retention(samples: DataFrame, rules: DataFrame, default_ttl_s: int | None = None) -> DataFrame:
+    """Each sample with the ttl of the latest rule that covers it, and `expires_at`.
 
-def _by_broadcast(samples: DataFrame, spans: DataFrame, levels: list[tuple[str, int]]) -> DataFrame:
-    newest_first = F.struct((-F.col("rule_seq")).alias("age"), "lo", "hi", "ttl_s")
-    filed = spans.groupBy("axis", "level", "backend", "channel", "block").agg(
-        F.sort_array(F.collect_list(newest_first)).alias("_filed")
-    )
-    filed = F.broadcast(filed)
-    rows, winners = _positions(samples), []
+    Bounds are inclusive. Samples need `backend`, `channel`, `pulse_id` and `ts` (or the second/nanosecond pair); a NULL in
+    one of the first three meets no rule. Rules become disjoint segments first. A sample looks in one block per segment
+    length in use (these, 22 at most, are looked up before): one left join each, by which samples are neither multiplied
+    nor joined back, so they need no key. How a join is done is left to Spark.
+    """
+    if "ts" not in samples.columns:
+        samples = samples.withColumn("ts", join_ts(F.col("ts_sec"), F.col("ts_ns")))
+    filed = _filed(_segments(rules))
+    levels = sorted((r["axis"], r["level"]) for r in filed.select("axis", "level").distinct().collect())
+    rows = samples.withColumn("_p", F.col("pulse_id").cast("bigint")).withColumn("_t", _micros(F.col("ts")))
+    winners = []
     for axis, level in levels:
-        rows = (
-            rows.withColumn("axis", F.lit(axis))
-            .withColumn("level", F.lit(level))
-            .withColumn("block", _block_of(axis, level))
-            .join(filed, ["axis", "level", "backend", "channel", "block"], "left")
-            .drop("axis", "level", "block")
-        )
-        at = F.col(f"_{axis}")
-        covering = F.filter("_filed", lambda r: at.between(r["lo"], r["hi"]))
-        name = f"_{axis}{level}"
-        rows = rows.withColumn(name, F.get(covering, F.lit(0))).drop("_filed")
-        winners.append(name)
-    # The newest rule has the least age; levels without a covering rule are NULL and do not count.
-    best = F.least(*winners) if len(winners) > 1 else F.col(winners[0])
-    return rows.withColumn("_ttl", best["ttl_s"]).drop("_p", "_t", *winners)
-
-
-def _by_shuffle(samples: DataFrame, spans: DataFrame, levels: list[tuple[str, int]], key: Sequence[str]) -> DataFrame:
-    places = F.array(
-        *[
-            F.struct(
-                F.lit(axis).alias("axis"),
-                F.lit(level).alias("level"),
-                _block_of(axis, level).alias("block"),
-                F.col(f"_{axis}").alias("_at"),
-            )
-            for axis, level in levels
-        ]
-    )
-    probe = (
-        _positions(samples.select(*dict.fromkeys([*key, "backend", "channel", "pulse_id", "ts"])))
-        .withColumn("_place", F.explode(places))
-        .select(*dict.fromkeys([*key, "backend", "channel"]), "_place.*")
-    )
-    on = ["axis", "level", "backend", "channel", "block"]
-    matches = lookup_join(probe, spans.select(*on, "lo", "hi", "rule_seq", F.col("ttl_s").alias("_rule_ttl")), on, list(key), "inner")
-    winners = (
-        matches.where(F.col("_at").between(F.col("lo"), F.col("hi")))
-        .groupBy(*key)
-        .agg(F.max_by("_rule_ttl", "rule_seq").alias("_ttl"))
+        name, at = f"_{axis}{level}", F.col(f"_{axis}")
+        here = filed.where((F.col("axis") == axis) & (F.col("level") == level)).select("backend", "channel", F.col("block").alias("_block"), "_filed")
+        rows = rows.withColumn("_block", F.shiftright(at, level)).join(here, ["backend", "channel", "_block"], "left")
+        rows = rows.withColumn(name, F.get(_covering(at), F.lit(0))).drop("_filed", "_block")
+        winners.append(F.struct(F.col(f"{name}.rule_seq"), F.col(f"{name}.ttl_s")))
+        winners[-1] = F.when(F.col(name).isNotNull(), winners[-1])
+    best = F.greatest(*winners) if len(winners) > 1 else winners[0] if winners else F.lit(None).cast("struct<rule_seq: bigint, ttl_s: bigint>")
+    ttl = F.coalesce(best["ttl_s"], F.lit(default_ttl_s).cast("bigint"))
+    kept = [c for c in samples.columns]
+    return rows.select(*kept, ttl.alias("ttl_s")).withColumn(
+        "expires_at", F.col("ts") + F.make_dt_interval(secs=F.col("ttl_s").cast("decimal(18,6)"))
     )
-    return samples.join(winners, list(key), "left")
 
 
 def purge_expired(
-    samples: DataFrame, rules: DataFrame, now: Column | datetime, default_ttl_s: int | None = None, **options
+    samples: DataFrame, rules: DataFrame, now: Column | datetime, default_ttl_s: int | None = None
 ) -> DataFrame:
     """The samples that are still to be kept; without any ttl a sample is kept for good."""
     now = now if isinstance(now, Column) else F.lit(now)
-    dated = apply_retention(samples, rules, default_ttl_s, **options)
+    dated = apply_retention(samples, rules, default_ttl_s)
     return dated.where(F.col("expires_at").isNull() | (F.col("expires_at") > now))

@@ -22,8 +22,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from pulsekit.operators.joins import lookup_join
-
 BUCKET_ROWS = 1_000_000
 
 
@@ -113,30 +111,29 @@ class OrderedScan:
     def lag(self, df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
         """The previous row of the stream: NULL on its first row.
 
-        One column gives its plain previous value (it must not be NULL itself); several give a struct.
+        One column gives its plain previous value, several give a struct. A previous value may be NULL itself.
         """
         value = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
         rows = self.with_carry(
             self.bucketed(df),
-            {"_last": F.max_by(value, F.col(self.order))},
+            {"_last": F.max_by(F.struct(value.alias("v")), F.col(self.order))},
             lambda s: {"_carry": F.lag("_last").over(self.across())},
         )
-        local = F.lag(value).over(self.local())
-        return rows.withColumn(out, F.coalesce(local, F.col("_carry"))).drop("_carry", self.bucket)
+        first = F.row_number().over(self.local()) == 1
+        before = F.when(first, F.col("_carry.v")).otherwise(F.lag(value).over(self.local()))
+        return rows.withColumn(out, before).drop("_carry", self.bucket)
 
     def last(self, df: DataFrame, n: int, rank: str) -> DataFrame:
         """The last n rows of each stream, ranked from 1 for the newest.
 
-        Row counts per bucket say which buckets hold them; only those are sorted.
+        First the last n of each bucket, then of each stream: both are group limits, which Spark applies before it
+        shuffles, so one pass over the rows is enough and no task gathers a stream.
         """
-        bucketed = self.bucketed(df)
-        newer = self.across().rowsBetween(1, Window.unboundedFollowing)
-        counts = bucketed.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
-        needed = counts.withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where(F.col("_newer") < n)
-        rows = lookup_join(bucketed, needed.select(*self.keys), self.keys, [self.order], "left_semi")
-        newest_first = Window.partitionBy(*self.by).orderBy(F.desc(self.order))
-        ranked = rows.drop(self.bucket).withColumn(rank, F.row_number().over(newest_first))
-        return ranked.where(F.col(rank) <= n)
+        by_bucket = Window.partitionBy(*self.keys).orderBy(F.desc(self.order))
+        by_stream = Window.partitionBy(*self.by).orderBy(F.desc(self.order))
+        rows = self.bucketed(df).withColumn(rank, F.row_number().over(by_bucket)).where(F.col(rank) <= n)
+        rows = rows.drop(self.bucket).withColumn(rank, F.row_number().over(by_stream))
+        return rows.where(F.col(rank) <= n)
 
     def with_halo(self, df: DataFrame, columns: Sequence[str], n: int, flag: str = "_halo") -> DataFrame:
         """Bucketed rows plus, in each bucket, copies of the `n` rows before it, flagged as halo.

@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsekit.operators.scan import OrderedScan
+from pulsekit.operators.scan import BUCKET_ROWS, OrderedScan
 
 # Columns of wide rows that are not channels.
 META_COLUMNS = (
@@ -26,9 +26,6 @@ META_COLUMNS = (
     "status",
 )
 
-# Up to this many rows "the first n" is a top-k; beyond it rows are numbered instead, which no task collects.
-TOP_K_LIMIT = 10_000
-
 
 @dataclass(frozen=True)
 class ChannelRule:
@@ -210,12 +207,21 @@ def in_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def take_messages(df: DataFrame, n: int | None, order: str = "arrival_seq") -> DataFrame:
-    """the first n usable messages in arrival order; 0 or None takes all."""
+def take_messages(df: DataFrame, n: int | None, order: str = "arrival_seq", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """the first n usable messages in arrival order; 0 or None takes all.
+
+    Ties in `order`, as between streams, go by stream_id and then by a hash of the row. Counts per bucket of arrivals say
+    which buckets are needed, for any n; only these are sorted, each by itself, and no task gathers n rows.
+    """
     usable = valid_messages(df) if "header_hash" in df.columns else df
     if not n:
         return usable
-    if n <= TOP_K_LIMIT:
-        return usable.orderBy(order).limit(n)
-    numbered = OrderedScan(by=(), order=order).index(usable, "_idx")
-    return numbered.where(F.col("_idx") < n).drop("_idx")
+    bucket = F.expr(f"`{order}` div {bucket_rows}L")
+    rows = usable.withColumn("_bucket", bucket)
+    before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    needed = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_before")).where(F.col("_before") < n)
+    ties = [c for c in ("stream_id",) if c in df.columns] + [F.xxhash64(*df.columns)]
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(order, *ties))
+    rows = rows.join(needed, "_bucket").withColumn("_place", F.col("_before") + place)
+    return rows.where(F.col("_place") <= n).select(*df.columns)

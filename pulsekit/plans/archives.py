@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.operators.align import align_pulses
 from pulsekit.plans.registry import plan
-from pulsekit.plans.scratch import scratch_dir
+from pulsekit.sources.scratch import scratch_dir
 from pulsekit.plans.views import CHANNELS, SAMPLES_SQL, samples
 from pulsekit.sources import archive
 

@@ -279,8 +279,8 @@ def _state(spark, sf_dir):
 
 
 def _requested(spark, sf_dir):
-    """Every channel of two event types, and one of each user that does not exist."""
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    """Every channel, and one of each user that does not exist."""
+    events = table(spark, sf_dir, "events")
     user = F.col("user_id").cast("string")
     return events.select(F.explode(F.array(F.concat_ws("_", "event_type", user), F.concat(F.lit("none_"), user))).alias("channel"))
 
@@ -290,7 +290,7 @@ def _requested(spark, sf_dir):
     f"""WITH {_STATE_SQL},
 requested AS (
   SELECT DISTINCT unnest([event_type || '_' || CAST(user_id AS VARCHAR), 'none_' || CAST(user_id AS VARCHAR)]) AS channel
-  FROM events WHERE event_type IN ('click', 'view'))
+  FROM events)
 SELECT channel, configured, connected, recording, last_event, epoch_us({_NOW_SQL} - last_event) // 1000000 AS age_s
 FROM requested LEFT JOIN state USING (channel)""",
 )
@@ -391,11 +391,11 @@ rules AS (
   SELECT o_orderkey AS rule_seq, CASE WHEN o_custkey % 2 = 0 THEN 'N' ELSE 'R' END AS backend, 'O' AS channel, o_orderkey AS start_pulse,
          o_orderkey + 500 AS end_pulse, NULL::TIMESTAMP AS start_ts, NULL::TIMESTAMP AS end_ts,
          CAST(86400 * (o_custkey % 3000) AS BIGINT) AS ttl_s
-  FROM orders WHERE o_totalprice > 480000
+  FROM orders
   UNION ALL
   SELECT CAST(c_custkey AS BIGINT), 'A', 'F', NULL, NULL, TIMESTAMP '1997-01-01' + to_days(CAST(c_custkey % 900 AS INTEGER)),
          TIMESTAMP '1997-01-15' + to_days(CAST(c_custkey % 900 AS INTEGER)), CAST(86400 * c_nationkey AS BIGINT)
-  FROM customer WHERE c_acctbal > 8000),
+  FROM customer),
 matched AS (
   SELECT s.*, (SELECT arg_max(r.ttl_s, r.rule_seq) FROM rules r WHERE s.backend = r.backend AND s.channel = r.channel
                AND (s.pulse_id BETWEEN r.start_pulse AND r.end_pulse OR s.ts BETWEEN r.start_ts AND r.end_ts)) AS found
@@ -419,7 +419,6 @@ def _rules(spark, sf_dir):
     none = lambda t: F.lit(None).cast(t)
     by_pulse = (
         table(spark, sf_dir, "orders")
-        .where("o_totalprice > 480000")
         .select(
             F.col("o_orderkey").alias("rule_seq"),
             F.when(F.col("o_custkey") % 2 == 0, "N").otherwise("R").alias("backend"),
@@ -434,7 +433,6 @@ def _rules(spark, sf_dir):
     shift = F.make_dt_interval(days=(F.col("c_custkey") % 900).cast("int"))
     by_time = (
         table(spark, sf_dir, "customer")
-        .where("c_acctbal > 8000")
         .select(
             F.col("c_custkey").alias("rule_seq"),
             F.lit("A").alias("backend"),
@@ -452,7 +450,7 @@ def _rules(spark, sf_dir):
 @plan("c5_retention", f"WITH {_RETENTION_SQL} SELECT * FROM dated")
 def c5_retention(spark, sf_dir):
     return retention.apply_retention(
-        _stored(spark, sf_dir), _rules(spark, sf_dir), default_ttl_s=604800, key=("pulse_id", "ordinal", "backend", "channel", "ts")
+        _stored(spark, sf_dir), _rules(spark, sf_dir), default_ttl_s=604800
     )
 
 
@@ -463,7 +461,6 @@ def c6_purge(spark, sf_dir):
         _rules(spark, sf_dir),
         F.lit(datetime(2000, 1, 1)).cast("timestamp_ntz"),
         default_ttl_s=604800,
-        key=("pulse_id", "ordinal", "backend", "channel", "ts"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions.types import pixel, reshape, typed_value
 from pulsekit.plans.registry import plan
-from pulsekit.plans.scratch import scratch_dir
+from pulsekit.sources.scratch import scratch_dir
 from pulsekit.plans.views import MESSAGES_SQL, messages, samples, table
 from pulsekit.sources import frames as fr
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pulsekit.operators.select import take_messages
 from pulsekit.plans.codec import event_frames
 from pulsekit.plans.registry import plan
-from pulsekit.plans.scratch import scratch_dir
+from pulsekit.sources.scratch import scratch_dir
 from pulsekit.plans.streams_in_order import STATS_SQL
 from pulsekit.plans.views import CHANNELS, MESSAGES_SQL, SAMPLES_SQL, as_messages, as_samples
 from pulsekit.sources.archive import read_channels
@@ -62,39 +62,33 @@ def i2_stream_continuity(spark, sf_dir):
     return streams.continuity_totals(spark, f"{path}/totals").drop("hwm")
 
 
-# At the smallest scale the samples of a pulse are hours apart, so the tolerance is a day. An incomplete pulse
-# goes out once the watermark has passed it, so the newest ones stay in the stream's state.
-_ALIGN_CUT = "(SELECT max(recv_ts) FROM samples) - INTERVAL 2 DAY"
+# At the smallest scale the samples of a pulse are hours apart, so the tolerance is a day.
 _CELLS = ", ".join(f"arg_max(value, arrival_seq) FILTER (channel = '{c}') AS {c}" for c in CHANNELS)
 
 
-def _settled(spark, sf_dir, aligned):
-    """The pulses whose last sample is older than the cut."""
-    samples = as_samples(spark.read.parquet(f"{sf_dir}/events.parquet"))
-    newest = samples.agg(F.max("recv_ts")).first()[0]
-    cut = F.lit(newest).cast("timestamp_ntz") - F.expr("INTERVAL 2 DAY")
-    settled = samples.groupBy("pulse_id").agg(F.max("recv_ts").alias("_last")).where(F.col("_last") < cut).select("pulse_id")
-    return aligned.join(settled, "pulse_id", "left_semi")
+def _whole(spark, sf_dir, landed):
+    """The run's pulses, those its end left open included."""
+    return streams.finished_pulses(landed, as_samples(spark.read.parquet(f"{sf_dir}/events.parquet")), CHANNELS)
 
 
 @plan(
     "i3_stream_align",
     f"""WITH {SAMPLES_SQL}
-SELECT pulse_id, {_CELLS} FROM samples GROUP BY pulse_id HAVING max(recv_ts) < {_ALIGN_CUT}""",
+SELECT pulse_id, {_CELLS} FROM samples GROUP BY pulse_id""",
 )
 def i3_stream_align(spark, sf_dir):
     stream = streams.stream_align(_live_samples(spark, sf_dir), CHANNELS, "1 day")
-    return _settled(spark, sf_dir, _landed(spark, stream, "aligned"))
+    return _whole(spark, sf_dir, _landed(spark, stream, "aligned"))
 
 
 @plan(
     "i3_stream_align_complete",
     f"""WITH {SAMPLES_SQL}
-SELECT pulse_id, {_CELLS} FROM samples GROUP BY pulse_id HAVING max(recv_ts) < {_ALIGN_CUT}""",
+SELECT pulse_id, {_CELLS} FROM samples GROUP BY pulse_id""",
 )
 def i3_stream_align_complete(spark, sf_dir):
     stream = streams.stream_align_complete(_live_samples(spark, sf_dir), CHANNELS, "1 day")
-    return _settled(spark, sf_dir, _landed(spark, stream, "complete"))
+    return _whole(spark, sf_dir, _landed(spark, stream, "complete"))
 
 
 @plan(
@@ -102,12 +96,12 @@ def i3_stream_align_complete(spark, sf_dir):
     f"""WITH {MESSAGES_SQL}
 SELECT stream_id, time_bucket(INTERVAL 1 HOUR, recv_ts) AS window_start, count(*) AS messages,
        CAST(sum(n_bytes) AS BIGINT) AS n_bytes, round(count(*) / 3600.0, 6) AS message_rate
-FROM messages GROUP BY ALL
-HAVING time_bucket(INTERVAL 1 HOUR, max(recv_ts)) + INTERVAL 1 HOUR <= (SELECT max(recv_ts) FROM messages) - INTERVAL 10 MINUTE""",
+FROM messages GROUP BY ALL""",
 )
 def i4_stream_rates(spark, sf_dir):
     rates = streams.stream_rates(_live_messages(spark, sf_dir), "1 hour", delay="10 minutes")
-    landed = _landed(spark, rates, "rates")
+    batch = as_messages(spark.read.parquet(f"{sf_dir}/events.parquet")).withColumn("recv_ts", F.col("recv_ts").cast("timestamp"))
+    landed = streams.finished_rates(_landed(spark, rates, "rates"), batch, "1 hour")
     start = F.convert_timezone(None, F.lit("UTC"), F.col("window_start").cast("timestamp_ntz"))
     rate = F.round("message_rate", 6)
     return landed.select("stream_id", start.alias("window_start"), "messages", "n_bytes", rate.alias("message_rate"))

@@ -87,8 +87,7 @@ def purge_channels(
     """
     stored = read_channels(spark, path)
     dated = stored.withColumn("backend", F.lit(backend)).withColumn("ts", join_ts(F.col("timestamp"), F.col("timestamp_offset")))
-    key = [c for c in ("stream_id", "arrival_seq", "channel") if c in stored.columns]
-    kept = purge_expired(dated, rules, now, default_ttl_s, key=key)
+    kept = purge_expired(dated, rules, now, default_ttl_s)
     _write_by_channel(kept.select(*stored.columns), out, mode)
 
 
@@ -129,7 +128,7 @@ def with_versions(
     too_many = F.concat(F.lit("column "), F.col("channel"), F.lit(f" replaced more than {MAX_VERSIONS} times"))
     checked = F.when(F.size("_changes") > MAX_VERSIONS, F.raise_error(too_many).cast("array<bigint>")).otherwise(F.col("_changes"))
     changes = changes.withColumn("_changes", checked)
-    rows = lookup_join(samples, changes, keys, [order])
+    rows = lookup_join(samples, changes, keys)
     so_far = F.size(F.filter("_changes", lambda at: at <= F.col(order)))
     total = F.size("_changes")
     latest = F.col("_changes").isNull() | (so_far == total)

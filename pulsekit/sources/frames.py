@@ -42,9 +42,7 @@ _HEADER_SCHEMA = (
 )
 # Parsed headers a task keeps at a time.
 _KNOWN_HEADERS = 1000
-# A data header without channels is shorter than this; longer ones need no second look.
-_BARE_HEADER_BYTES = 1024
-_NO_CHANNELS = r'"channels"\s*:\s*\[\s*\]'
+_DATA_HEADER_SCHEMA = "channels array<struct<name: string>>"
 
 
 def read_frames(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
@@ -78,14 +76,17 @@ def with_headers(frames: DataFrame) -> DataFrame:
 def decode_messages(frames: DataFrame) -> DataFrame:
     """The envelope of each message, without touching its values; stays in the JVM.
 
+    `n_channels` is what the data header declares, at any length; a packed header, or one that cannot be read, counts
+    the channels delivered.
     `status` is ok, empty_header, bad_header, bad_timestamp or no_channels.
     """
     rows = with_headers(frames)
     first, second = F.get("parts", F.lit(0)), F.get("parts", F.lit(1))
     no_header = first.isNull() | (F.length(first) == 0) | (F.trim(first.cast("string")) == "{}")
-    bare = (F.length(second) < _BARE_HEADER_BYTES) & second.cast("string").rlike(_NO_CHANNELS)
+    plain = F.coalesce(F.col("dh_compression"), F.lit("none")) == "none"
+    declared = F.size(F.from_json(F.when(plain, second.cast("string")), _DATA_HEADER_SCHEMA)["channels"])
     delivered = F.greatest(F.floor((F.size("parts") - 1) / 2).cast("int"), F.lit(0))
-    n_channels = F.when(F.coalesce(bare, F.lit(False)), 0).otherwise(delivered)
+    n_channels = F.when(declared >= 0, declared).otherwise(delivered)
     status = (
         F.when(no_header, "empty_header")
         .when(F.col("pulse_id").isNull() | F.col("header_hash").isNull(), "bad_header")

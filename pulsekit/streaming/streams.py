@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from pulsekit.operators.align import align_pulses
 from pulsekit.operators.continuity import classify
 from pulsekit.operators.joins import lookup_join
 from pulsekit.operators.scan import OrderedScan
@@ -37,11 +39,13 @@ def stream_rates(messages: DataFrame, window: str = "1 second", slide: str | Non
 
     `recv_ts` must be a TIMESTAMP. Counting combines before the shuffle, so one busy stream is no burden.
     """
+    return _rates(messages.withWatermark("recv_ts", delay), window, slide)
+
+
+def _rates(messages: DataFrame, window: str, slide: str | None) -> DataFrame:
     span = F.window("recv_ts", window, slide)
-    counted = (
-        messages.withWatermark("recv_ts", delay)
-        .groupBy(span, "stream_id")
-        .agg(F.count(F.lit(1)).alias("messages"), F.sum("n_bytes").cast("bigint").alias("n_bytes"))
+    counted = messages.groupBy(span, "stream_id").agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("n_bytes").cast("bigint").alias("n_bytes")
     )
     seconds = F.timestamp_diff("MICROSECOND", F.col("window.start"), F.col("window.end")) / 1e6
     return counted.select(
@@ -92,7 +96,7 @@ def stream_continuity(
         if number > 0:
             before = session.read.parquet(f"{path}/batch={number - 1}")
             given = before.select(*keys, F.col("hwm").alias("_carry"))
-            marked = lookup_join(marked, given, keys, [scan.order])
+            marked = lookup_join(marked, given, keys)
             marked = marked.withColumn("hwm", F.greatest("_carry", "_local")).drop("_carry", "_local")
         else:
             before = None
@@ -111,15 +115,24 @@ def stream_continuity(
             new = before.unionByName(new)
         totals = new.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts], F.max("hwm").alias("hwm"))
         totals.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        # this batch may be repeated and then needs the totals before it; those before these are done with
+        _remove(session, f"{path}/batch={number - 2}")
 
     return _start(messages, checkpoint, available_now, interval).foreachBatch(step).start()
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def continuity_totals(spark: SparkSession, path: str) -> DataFrame:
-    """The newest totals :func:`stream_continuity` left in a folder."""
-    filed = spark.read.parquet(path)
-    newest = filed.groupBy().agg(F.max("batch").alias("batch"))
-    return filed.join(newest, "batch", "left_semi").drop("batch")
+    """The newest totals :func:`stream_continuity` left in a folder: at most two are there, only the newest is read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = [f.getPath().getName() for f in listed]
+    newest = max(int(name.partition("=")[2]) for name in names if name.startswith("batch="))
+    return spark.read.parquet(f"{path}/batch={newest}")
 
 
 # ---- alignment ----
@@ -133,6 +146,8 @@ def stream_align(
     The samples of a pulse form a session that ends `tolerance` after the last of them; when the watermark
     passes that, the pulse goes out with NULL for channels that did not come. All in the JVM, with values
     of any type, and combined before the shuffle. :func:`stream_align_complete` sends full pulses at once.
+    A pulse whose samples come further apart than `tolerance` goes out in parts; :func:`finished_pulses` makes one row of
+    them when a bounded run ends.
     """
     timed = samples.withWatermark(event_time, tolerance)
     wanted = timed.where(F.col("channel").isin(list(channels)))
@@ -248,17 +263,75 @@ def stream_archive(
     raise ValueError(f"unknown layout {layout!r}, known are channels and compact")
 
 
-def run_available(df: DataFrame, path: str, checkpoint: str, timeout_s: float | None = None) -> bool:
+def run_available(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    timeout_s: float | None = None,
+    n: int | None = None,
+    accepted: Column | None = None,
+) -> bool:
     """Land everything that is there now in Parquet, or as much as the timeout allows.
 
-    True when all was landed; otherwise a later run with the same checkpoint goes on from there. The first
-    n messages are `take_messages` on what has landed.
+    True when all was landed; otherwise a later run with the same checkpoint goes on from there. With `n` the run also
+    ends once `n` rows for which `accepted` is true (all, if not given) have landed: whole batches land, so the first n of
+    them are `take_messages` on what has landed.
+    """
+    if n is None:
+        query = _start(df, checkpoint, True, None).format("parquet").start(path)
+    else:
+        landed = [0]
+
+        def land(batch: DataFrame, number: int) -> None:
+            # a repeated batch is written anew and counted once
+            batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            mine = batch.sparkSession.read.parquet(f"{path}/batch={number}")
+            landed[0] += (mine if accepted is None else mine.where(accepted)).count()
+
+        query = _start(df, checkpoint, True, None).foreachBatch(land).start()
+    waited, step = 0.0, 0.2
+    while not query.awaitTermination(timeout_s if n is None and timeout_s is not None else step if n is not None else None):
+        waited += step
+        full = n is not None and landed[0] >= n
+        if full or timeout_s is not None and (n is None or waited >= timeout_s):
+            query.stop()
+            return full
+        if n is None:
+            break
+    return True
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark of a run has dropped so far, as its stateful operators counted them."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def finished_rates(landed: DataFrame, messages: DataFrame, window: str = "1 second", slide: str | None = None) -> DataFrame:
+    """I4, at the end of a bounded run: what :func:`stream_rates` has landed and the windows it still held open.
+
+    `messages` are the run's input as a table. A window that has landed stays as it is.
+    """
+    keys = ["stream_id", "window_start", "window_end"]
+    whole = _rates(messages, window, slide)
+    return landed.unionByName(whole.join(landed.select(*keys), keys, "left_anti"))
+
+
+def finished_pulses(landed: DataFrame, samples: DataFrame, channels: Sequence[str]) -> DataFrame:
+    """I3, at the end of a bounded run: one complete row for each pulse of the input.
+
+    `samples` are the run's input as a table. A pulse that landed once, with as many channels as the input has for it,
+    stays as it is. Pulses still open, pulses whose samples lay further apart than the tolerance (several rows) and
+    pulses of which the watermark dropped samples are aligned anew.
     """
-    query = _start(df, checkpoint, True, None).format("parquet").start(path)
-    if timeout_s is None:
-        query.awaitTermination()
-        return True
-    done = query.awaitTermination(timeout_s)
-    if not done:
-        query.stop()
-    return bool(done)
+    names = [f"`{c}`" for c in channels]
+    filled = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in names])
+    known = landed.groupBy("pulse_id").agg(F.count("*").alias("_rows"), F.max(filled).alias("_cells"))
+    wanted = samples.where(F.col("channel").isin(list(channels)))
+    cells = wanted.groupBy("pulse_id", "channel").agg(F.max_by("value", "arrival_seq").alias("value"))
+    there = cells.groupBy("pulse_id").agg(F.count("value").alias("_have"))
+    same = F.col("pulse_id").eqNullSafe(F.col("_pulse"))
+    known = known.withColumnRenamed("pulse_id", "_pulse")
+    good = there.join(known, same).where((F.col("_rows") == 1) & (F.col("_cells") == F.col("_have"))).select("_pulse")
+    kept = landed.join(good, same, "left_semi")
+    again = align_pulses(wanted.join(good, same, "left_anti"), channels)
+    return kept.unionByName(again.select(*landed.columns))

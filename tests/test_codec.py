@@ -38,27 +38,53 @@ def decoded(df):
     return out
 
 
-def test_simulated_channels(spark):
-    """Eight channels of all kinds keep order, type, shape and value."""
-    wave = lambda x: [math.sin(3.1415 * i / 200 + x / 100) for i in range(30)]
+def test_channels_of_all_kinds(spark):
+    """A message of scalars, text, a list, a curve and an image keeps order, type, shape and value."""
+    names = ["turns", "gain", "label", "valve", "levels", "ramp", "frame"]
     values = [
-        (x, x * 10.0, x * 100.0, x * 200.0, "hello"[: x % 5 + 1], [1.0, 2.0, 3.0, 4.0], wave(x), [1.0, 2.0, 3.0, 4.0] * 2)
-        for x in range(12)
+        (3 - n, 0.25 * n - 1, f"run {n:03d} µ", n % 3 == 0, [n + 0.5, -n / 4], [float((n + 7 * k) % 11) for k in range(12)], [n * k for k in range(6)])
+        for n in range(9)
     ]
-    schema = "ABC int, ABCD double, ABCDF double, XYZ double, XYZW string, WWW array<double>, WAVE array<double>, IMAGE array<double>"
-    specs = ["ABC", "ABCD", "ABCDF", "XYZ", "XYZW", "WWW", {"name": "WAVE", "shape": [30]}, {"name": "IMAGE", "shape": [4, 2]}]
+    schema = "turns int, gain double, label string, valve boolean, levels array<float>, ramp array<double>, frame array<bigint>"
+    specs = [*names[:5], {"name": "ramp", "shape": [12]}, {"name": "frame", "shape": [2, 3]}]
     frames = sent(spark, values, schema, specs)
     got = decoded(frames)
-    assert [g[0] for g in got[:8]] == ["ABC", "ABCD", "ABCDF", "XYZ", "XYZW", "WWW", "WAVE", "IMAGE"]
-    assert [tuple(v for _, v, _ in got[8 * x : 8 * x + 8]) for x in range(12)] == values
+    k = len(names)
+    assert [g[0] for g in got[:k]] == names
+    assert [tuple(v for _, v, _ in got[k * n : k * n + k]) for n in range(len(values))] == values
     defs = rows(fr.frame_defs(frames), "ordinal", "channel", "type", "shape")
-    assert defs[0] == (0, "ABC", "int32", [1]) and defs[7] == (7, "IMAGE", "float64", [4, 2])
-    assert defs[5][3] == [4] and defs[6][3] == [30] and defs[4][2] == "string"
+    assert [(d[1], d[2], d[3]) for d in defs] == list(
+        zip(names, ["int32", "float64", "string", "bool", "float32", "float64", "int64"], [[1], [1], defs[2][3], [1], [2], [12], [2, 3]])
+    )
     wide_specs = [{"name": d[1], "type": d[2], "shape": d[3]} for d in defs]
     back = fr.decode_wide(frames, wide_specs).orderBy("pulse_id")
     assert [tuple(r)[6:] for r in back.collect()] == values
     envelope = fr.decode_messages(frames).select("n_channels", "status", "global_sec", "global_ns").distinct().collect()
-    assert [tuple(r) for r in envelope] == [(8, "ok", 123, 456)]
+    assert [tuple(r) for r in envelope] == [(k, "ok", 123, 456)]
+
+
+def test_bytes_of_every_type(spark):
+    """Encoded values are the bytes the type has in numpy, for both byte orders."""
+    kinds = {
+        "int8": "i1", "uint8": "u1", "int16": "i2", "uint16": "u2", "int32": "i4", "uint32": "u4", "int64": "i8", "uint64": "u8",
+        "float32": "f4", "float64": "f8", "bool": "?",
+    }
+    df = spark.createDataFrame([(7, 8, 9, [1, 0, 1])], f"{META}, v array<bigint>")
+    for name, code in kinds.items():
+        for order, mark in (("little", "<"), ("big", ">")):
+            raw = fr.encode_frames(df, [{"name": "v", "type": name, "encoding": order}]).first().parts
+            assert bytes(raw[2]) == np.array([1, 0, 1]).astype(mark + code).tobytes(), (name, order)
+            assert bytes(raw[3]) == struct.pack(mark + "qq", 8, 9), (name, order)
+    text = fr.encode_frames(spark.createDataFrame([(7, 8, 9, "ä b")], f"{META}, v string")).first().parts
+    assert bytes(text[2]) == "ä b".encode()
+
+
+@pytest.mark.parametrize("note", ["", "x" * 3000])
+def test_channels_are_counted_in_the_header(spark, note):
+    bare = json.dumps({"channels": [], "note": note}).encode()
+    assert fr.decode_messages(message(spark, [], [b"1", b"2"], header=bare)).select("n_channels", "status").first() == (0, "no_channels")
+    nested = json.dumps({"channels": [{"name": "a"}], "meta": {"channels": []}, "note": note}).encode()
+    assert fr.decode_messages(message(spark, [], [b"1", b"2"], header=nested)).select("n_channels", "status").first() == (1, "ok")
 
 
 def test_schema_change(spark):
@@ -140,7 +166,7 @@ def test_bitshuffle_layout():
     """The first plane of a block holds the lowest bits of the first byte, first element lowest."""
     data = np.arange(128, dtype="<u2").tobytes() + np.array([9, 8, 7], "<u2").tobytes()
     packed = compression.pack(data, "bitshuffle_lz4", "<u2")
-    assert struct.unpack(">qi", packed[:12]) == (262, 8192)
+    assert struct.unpack(">qi", packed[:12]) == (262, 2048)
     length = struct.unpack(">I", packed[12:16])[0]
     planes = compression._unlz4(packed[16 : 16 + length], 256)
     assert planes[:16] == b"\xaa" * 16 and planes[16:32] == b"\xcc" * 16 and planes[48:64] == b"\x00\xff" * 8

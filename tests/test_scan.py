@@ -195,10 +195,38 @@ def test_completeness(spark, bucket):
     assert {tuple(r) for r in got.collect()} == expected
 
 
-def test_take_beyond_the_top_k_limit(data, monkeypatch):
+@pytest.mark.parametrize("bucket", [1, 7, 10**6])
+def test_take_across_buckets_and_streams(data, bucket):
     df, streams = data
-    monkeypatch.setattr("pulsekit.operators.select.TOP_K_LIMIT", 10)
     everything = sorted(r[1] for messages in streams.values() for r in messages)
-    assert sorted(r[0] for r in rows(take_messages(df, 100), "arrival_seq")) == everything[:100]
-    assert sorted(r[0] for r in rows(take_messages(df, 10), "arrival_seq")) == everything[:10]
+    for n in (10, 100, 10**6):
+        assert sorted(r[0] for r in rows(take_messages(df, n, bucket_rows=bucket), "arrival_seq")) == everything[:n]
+
+
+@pytest.mark.parametrize("bucket", [1, 2, 3, 100])
+def test_nulls_do_not_depend_on_the_bucket(spark, bucket):
+    scan = OrderedScan(bucket_rows=bucket)
+    data = [("s", i, h, t, p) for i, (h, t, p) in enumerate(zip("AAA.A", (1000, 2000, 3000, None, 6600), (1, 2, None, 3, 9)))]
+    df = spark.createDataFrame([(s, i, None if h == "." else h, t, p) for s, i, h, t, p in data], "stream_id string, arrival_seq bigint, header_hash string, s bigint, pulse_id bigint")
+    df = df.withColumn("recv_ts", F.timestamp_seconds("s"))
+    assert [r.format_changed for r in format_changes(df, scan).orderBy("arrival_seq").collect()] == [True, False, False, True, True]
+    assert [r.epoch for r in schema_epochs(df, scan).orderBy("arrival_seq").collect()] == [1, 1, 1, 2, 3]
+    assert [r.idle_us for r in idle_gaps(df, 1_500_000, scan).collect()] == []
+    kinds = classify_pulses(df, scan).orderBy("arrival_seq").collect()
+    assert [(r.kind, r.missed) for r in kinds] == [("first", 0), ("ok", 0), ("no_pulse", 0), ("ok", 0), ("missed", 5)]
+
+
+def test_sparse_order_values_and_long_gaps(spark):
+    df = spark.createDataFrame([("s", i * 10**9, p) for i, p in enumerate((1, 10**18, 10**18 + 3))], "stream_id string, arrival_seq bigint, pulse_id bigint")
+    assert [tuple(r) for r in continuity_stats(df).collect()] == [("s", 3, 10**18 - 2 + 2, 0, 0)]
+    assert gap_report(df).count() == 2
+    assert gap_report(df.where("arrival_seq > 0"), ids=True).select("missing_id").orderBy("missing_id").collect() == [(10**18 + 1,), (10**18 + 2,)]
+
+
+def test_last_rows_in_one_pass(data):
+    df, streams = data
+    for n in (1, 3, 2000):
+        got = OrderedScan(bucket_rows=5).last(df, n, "_rank")
+        want = sorted(seq for messages in streams.values() for seq in sorted(r[1] for r in messages)[-n:])
+        assert sorted(r[0] for r in rows(got, "arrival_seq")) == want
     assert take_messages(df, 0).count() == take_messages(df, None).count() == len(everything)
