@@ -22,8 +22,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # Labelled rows, at most, from which the forest is grown and its threshold calibrated.
 MAX_LABELLED = 8192
-# Share of the rows labelled good that may lie beyond the usual range of a statistic, at either end.
+# Share of the rows labelled good that may lie beyond the usual range of a statistic, at either end, and how far the
+# range is widened at both, in parts of its width: unseen good documents lie a little outside.
 TAIL = 0.001
+MARGIN = 0.5
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SHARES = ["symbol", "shout", "capital", "dup_line", "repeat", "word_length", "digit", "top_word"]
@@ -127,6 +129,7 @@ def grow(shares: np.ndarray, good: np.ndarray, trees: int = 100, sample: int = 6
     """An isolation forest: each tree halves a random sample by random cuts of random features."""
     random = np.random.default_rng(seed)
     usual = np.quantile(shares[good] if good.any() else shares, [TAIL, 1 - TAIL], axis=0)
+    usual = usual + np.array([[-MARGIN], [MARGIN]]) * (usual[1] - usual[0])
     x = shares - np.clip(shares, *usual)
     sample = min(sample, len(x))
     limit = int(np.ceil(np.log2(max(2, sample))))

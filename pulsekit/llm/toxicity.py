@@ -98,7 +98,7 @@ def choose(hits: list[np.ndarray], y: np.ndarray, size: int, least: int, times:
     return chosen
 
 
-def _linear(hits: list[np.ndarray], y: np.ndarray, size: int, rounds: int = 400, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+def _linear(hits: list[np.ndarray], y: np.ndarray, size: int, rounds: int = 1500, l2: float = 2e-5) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels; rows are lists of active features."""
     row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     at = np.concatenate(hits).astype(np.int64) if len(row) else np.zeros(0, np.int64)
@@ -107,7 +107,7 @@ def _linear(hits: list[np.ndarray], y: np.ndarray, size: int, rounds: int = 400,
     for step in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[at], len(hits)) + b, -30, 30)))
         e = (p - y) / len(hits)
-        g = np.r_[np.bincount(at, e[row], size) + l2 * w / 10, e.sum()]
+        g = np.r_[np.bincount(at, e[row], size) + l2 * w, e.sum()]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
         w, b = w - move[:-1], b - move[-1]
