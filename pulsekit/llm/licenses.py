@@ -55,7 +55,7 @@ class _Template:
 
 
 def _templates(texts: Mapping[str, str]) -> list[_Template]:
-    return [_Template(n, [w.lower() for w in _WORD.findall(t)], t.encode()) for n, t in texts.items()]
+    return [_Template(n, [w.lower() for w in _WORD.findall(t)], t.lower().encode()) for n, t in texts.items()]
 
 
 def _differences(template: list[str], block: list[str]) -> tuple[int, int, list[str], list[str]]:
@@ -90,7 +90,8 @@ class Scanner:
     def _block(self, line: str, words: list[re.Match], at: int) -> dict | None:
         """The notice around word `at` of a line."""
         near = words[max(0, at - self.reach) : at + self.reach + 1]
-        raw = line[near[0].start() : near[-1].end()].encode("utf-8", "surrogatepass")
+        raw = line[near[0].start() : near[-1].end()].lower().encode("utf-8", "surrogatepass")
+        here = at - max(0, at - self.reach)
         alone = len(self.plain.compress(raw))
         saved = [alone - len(c.compress(raw)) for c in self.given]
         block = [w.group().lower() for w in near]
@@ -100,6 +101,8 @@ class Scanner:
             wrong = missing + inserted
             if len(wrong) * 100 > self.tolerance * len(t.words) or any(w[:1].isdigit() for w in wrong):
                 continue
+            if not first <= here < last:  # another notice of the line
+                continue
             return {
                 "license": t.name, "start": near[first].start(), "end": near[last - 1].end(), "saved": saved[k],
                 "size": alone, "missing": missing, "inserted": inserted, "text": line[near[first].start() : near[last - 1].end()],
@@ -118,10 +121,10 @@ class Scanner:
                 for a in anchors:
                     while at < len(words) and words[at].end() <= a.start():
                         at += 1
-                    if at == len(words) or a.start() < done:
+                    if at == len(words) or words[at].start() < done:
                         continue
                     notice = self._block(line, words, at)
-                    if notice and notice["start"] <= a.start() < notice["end"]:
+                    if notice:
                         done = notice["end"]
                         notice |= {"start": notice["start"] + offset, "end": notice["end"] + offset, "line": number}
                         found[notice["start"], notice["end"]] = notice

@@ -65,7 +65,7 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 5, prior: f
         on, off = (((votes * t[:, None]).sum(0) + prior * a) / (t.sum() + prior) for t, a in zip((y, 1 - y), anchor))
         rest = votes - y[:, None] * on - (1 - y)[:, None] * off
         scale = np.sqrt((rest**2).mean(0)) + 1e-9
-        shared = np.abs(rest.T @ rest / len(rest) / np.outer(scale, scale))
+        shared = rest.T @ rest / len(rest) / np.outer(scale, scale)  # voters that exclude each other repeat nothing
         weight = 1 / np.maximum(1.0, np.where(shared > 0.5, shared, 0).sum(1))
         share = np.clip(y.mean(), 1e-4, 1 - 1e-4)
         y = 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + (votes * np.log(on / off)) @ weight, -30, 30)))
