@@ -1,3 +1,3 @@
 """Importing this module registers every plan."""
 
-from pulsekit.plans import archives, channels, codec, live, streams_in_order  # noqa: F401
+from pulsekit.plans import archives, channels, codec, live, small_buckets, streams_in_order  # noqa: F401

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from pulsekit.operators import align, catalog, retention, select
+from pulsekit.operators.scan import OrderedScan
 from pulsekit.plans.registry import plan
 from pulsekit.plans.views import CHANNELS, MESSAGES_SQL, SAMPLES_SQL, messages, samples, table
 
@@ -362,8 +363,8 @@ SELECT b.stream_id, any_value(d.complete_seq) AS complete_seq,
 FROM begun b JOIN nullable n ON b.stream_id = n.stream_id LEFT JOIN done d ON b.stream_id = d.stream_id
 GROUP BY b.stream_id""",
 )
-def e6_completeness(spark, sf_dir):
-    return catalog.completeness(_nullable(spark, sf_dir), CHANNELS)
+def e6_completeness(spark, sf_dir, scan=OrderedScan()):
+    return catalog.completeness(_nullable(spark, sf_dir), CHANNELS, scan=scan)
 
 
 @plan(

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from pulsekit.functions.types import pixel, reshape, typed_value
+from pulsekit.operators.scan import OrderedScan
 from pulsekit.plans.registry import plan
 from pulsekit.sources.scratch import scratch_dir
 from pulsekit.plans.views import MESSAGES_SQL, messages, samples, table
@@ -451,10 +452,10 @@ SELECT stream_id, arrival_seq,
          (PARTITION BY stream_id ORDER BY arrival_seq ROWS UNBOUNDED PRECEDING), 1000) + row_index AS pulse_id
 FROM numbered""",
 )
-def a9_pulse_ids(spark, sf_dir):
+def a9_pulse_ids(spark, sf_dir, scan=OrderedScan()):
     given = F.when(F.col("k") % 20 == 0, F.col("arrival_seq") * 3)
     rows = messages(spark, sf_dir).select("stream_id", "arrival_seq", given.alias("explicit_id"))
-    return fr.assign_pulse_ids(rows, start=1000, explicit="explicit_id").drop("explicit_id")
+    return fr.assign_pulse_ids(rows, start=1000, explicit="explicit_id", scan=scan).drop("explicit_id")
 
 
 @plan(

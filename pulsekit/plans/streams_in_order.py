@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulsekit.operators import continuity, epochs, rates, select
+from pulsekit.operators.scan import OrderedScan
 from pulsekit.plans.registry import plan
 from pulsekit.plans.views import MESSAGES_SQL, messages
 
@@ -30,14 +31,14 @@ FROM classified GROUP BY stream_id"""
 
 
 @plan("d1_continuity_stats", STATS_SQL)
-def d1_continuity_stats(spark, sf_dir):
-    return continuity.continuity_stats(messages(spark, sf_dir))
+def d1_continuity_stats(spark, sf_dir, scan=OrderedScan()):
+    return continuity.continuity_stats(messages(spark, sf_dir), scan)
 
 
 @plan("e1_classify_pulses", f"WITH {CLASSIFIED_SQL} SELECT * FROM classified")
-def e1_classify_pulses(spark, sf_dir):
+def e1_classify_pulses(spark, sf_dir, scan=OrderedScan()):
     slim = messages(spark, sf_dir).select("stream_id", "arrival_seq", "pulse_id")
-    return continuity.classify_pulses(slim)
+    return continuity.classify_pulses(slim, scan)
 
 
 @plan(
@@ -46,8 +47,8 @@ def e1_classify_pulses(spark, sf_dir):
 SELECT stream_id, arrival_seq, hwm + 1 AS expected, pulse_id AS received, missed AS n_missing
 FROM classified WHERE missed > 0""",
 )
-def e3_gap_report(spark, sf_dir):
-    return continuity.gap_report(messages(spark, sf_dir))
+def e3_gap_report(spark, sf_dir, scan=OrderedScan()):
+    return continuity.gap_report(messages(spark, sf_dir), scan)
 
 
 @plan(
@@ -69,8 +70,8 @@ lagged AS (SELECT stream_id, arrival_seq, recv_ts,
 SELECT stream_id, arrival_seq, recv_ts, previous_ts, date_diff('microsecond', previous_ts, recv_ts) AS idle_us
 FROM lagged WHERE date_diff('microsecond', previous_ts, recv_ts) > 60000000""",
 )
-def e7_idle_gaps(spark, sf_dir):
-    return continuity.idle_gaps(messages(spark, sf_dir), timeout_ms=60_000)
+def e7_idle_gaps(spark, sf_dir, scan=OrderedScan()):
+    return continuity.idle_gaps(messages(spark, sf_dir), timeout_ms=60_000, scan=scan)
 
 
 EPOCHS_SQL = f"""
@@ -87,9 +88,9 @@ SELECT stream_id, arrival_seq, header_hash, format_changed,
        CAST(sum(CAST(format_changed AS INTEGER)) OVER (PARTITION BY stream_id ORDER BY arrival_seq) AS BIGINT) AS epoch
 FROM flagged""",
 )
-def e2_schema_epochs(spark, sf_dir):
+def e2_schema_epochs(spark, sf_dir, scan=OrderedScan()):
     slim = messages(spark, sf_dir).select("stream_id", "arrival_seq", "header_hash")
-    return epochs.schema_epochs(slim)
+    return epochs.schema_epochs(slim, scan)
 
 
 @plan(
@@ -101,9 +102,9 @@ ranked AS (SELECT stream_id, arrival_seq, header_hash, pulse_id,
 SELECT r.stream_id, r.arrival_seq, r.header_hash, r.pulse_id
 FROM ranked r JOIN newest n ON r.stream_id = n.stream_id WHERE rn <= 20 AND arrival_seq >= since""",
 )
-def e4_tail_rows(spark, sf_dir):
+def e4_tail_rows(spark, sf_dir, scan=OrderedScan()):
     slim = messages(spark, sf_dir).select("stream_id", "arrival_seq", "header_hash", "pulse_id")
-    return epochs.tail_rows(slim, 20)
+    return epochs.tail_rows(slim, 20, scan)
 
 
 @plan(
@@ -113,9 +114,9 @@ SELECT stream_id, arrival_seq, value,
        list(value) OVER (PARTITION BY stream_id ORDER BY arrival_seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS trail
 FROM messages""",
 )
-def e5_trailing(spark, sf_dir):
+def e5_trailing(spark, sf_dir, scan=OrderedScan()):
     slim = messages(spark, sf_dir).select("stream_id", "arrival_seq", "value")
-    return epochs.trailing(slim, "value", 10)
+    return epochs.trailing(slim, "value", 10, scan)
 
 
 @plan(
@@ -251,8 +252,8 @@ numbered AS (SELECT stream_id, arrival_seq, pulse_id,
                     row_number() OVER (PARTITION BY stream_id ORDER BY arrival_seq) - 1 AS idx FROM messages)
 SELECT * FROM numbered WHERE idx % 7 = 0""",
 )
-def b10_every_nth(spark, sf_dir):
-    return select.every_nth(messages(spark, sf_dir).select("stream_id", "arrival_seq", "pulse_id"), 7)
+def b10_every_nth(spark, sf_dir, scan=OrderedScan()):
+    return select.every_nth(messages(spark, sf_dir).select("stream_id", "arrival_seq", "pulse_id"), 7, scan)
 
 
 _ENVELOPE_SQL = f"""{MESSAGES_SQL},
