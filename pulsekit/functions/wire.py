@@ -248,8 +248,6 @@ def write_values(column: pa.Array, channel: ChannelDef) -> pa.Array:
         elements = elements != 0
     data = np.ascontiguousarray(elements.astype(code)).tobytes()
     ends = np.concatenate([[0], np.cumsum(counts)]) * np.dtype(code).itemsize
-    if ends[-1] > np.iinfo(np.int32).max:
-        raise ValueError("a batch of parts exceeds 2 GiB; lower spark.sql.execution.arrow.maxRecordsPerBatch")
     return _packed(_binary(ends, data, len(column)), column, channel)
 
 

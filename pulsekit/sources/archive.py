@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from pulsekit.operators.joins import lookup_join
 from pulsekit.operators.retention import purge_expired
 from pulsekit.operators.scan import OrderedScan
 from pulsekit.operators.select import META_COLUMNS
+from pulsekit.sources.scratch import scratch_dir
 
 # A column may be replaced this often.
 MAX_VERSIONS = 99
@@ -114,20 +115,23 @@ def replacements(samples: DataFrame, spec: Sequence[str] = ("type", "shape"), sc
 
 
 def with_versions(
-    samples: DataFrame, replaced: DataFrame, by: Sequence[str] = ("stream_id",), order: str = "arrival_seq"
+    samples: DataFrame,
+    replaced: DataFrame,
+    by: Sequence[str] = ("stream_id",),
+    order: str = "arrival_seq",
+    max_versions: int = MAX_VERSIONS,
 ) -> DataFrame:
     """Samples with `column`: name(1), name(2), ... for the versions replaced later, the name for the latest.
 
-    The changes of a channel, at most 99, travel to its samples as one sorted array.
+    The changes of a channel travel to its samples as one sorted array; more than `max_versions` are an error.
     """
     keys = [c for c in (*by, "channel") if c in replaced.columns]
-    # One change more than allowed is enough to know that there are too many.
-    ranked = replaced.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
-    kept = ranked.where(F.col("_rank") <= MAX_VERSIONS + 1)
-    changes = kept.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_changes"))
-    too_many = F.concat(F.lit("column "), F.col("channel"), F.lit(f" replaced more than {MAX_VERSIONS} times"))
-    checked = F.when(F.size("_changes") > MAX_VERSIONS, F.raise_error(too_many).cast("array<bigint>")).otherwise(F.col("_changes"))
-    changes = changes.withColumn("_changes", checked)
+    too_many = F.concat(F.lit("column "), F.col("channel"), F.lit(f" replaced more than {max_versions} times"))
+    # counted before anything is collected
+    counted = replaced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.where(F.when(F.col("_n") > max_versions, F.raise_error(too_many).cast("boolean")).otherwise(F.lit(True)))
+    changes = replaced.join(counted.select(*keys), keys, "left_semi")
+    changes = changes.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_changes"))
     rows = lookup_join(samples, changes, keys)
     so_far = F.size(F.filter("_changes", lambda at: at <= F.col(order)))
     total = F.size("_changes")
@@ -141,18 +145,22 @@ def versioned_columns(
     spec: Sequence[str] = ("type", "shape"),
     replaced: DataFrame | None = None,
     scan: OrderedScan = OrderedScan(),
+    max_versions: int = MAX_VERSIONS,
 ) -> DataFrame:
     """One row per message, a column per version of each channel.
 
-    Rows outside a version's life are NULL in its column. Which columns there are is looked up first:
-    names, types and shapes only, at most 100 per channel. `replaced` (channel, arrival_seq, for all
+    Rows outside a version's life are NULL in its column. Which columns there are is looked up first: their names, types
+    and shapes, which the schema of the result needs. A version whose rows differ in type or shape is an error, no value
+    is dropped for it. `replaced` (channel, arrival_seq, for all
     streams or with their keys) says where columns are replaced, if not where `spec` changes.
     """
     if replaced is None:
         replaced = replacements(samples, spec, scan)
-    # A handful of rows behind a scan of everything, asked for three times below.
-    replaced = replaced.persist()
-    rows = with_versions(samples, replaced, scan.by, scan.order)
+    # A handful of rows behind a scan of everything, asked for three times below: written once.
+    path = scratch_dir(samples.sparkSession, "replaced")
+    replaced.write.parquet(path)
+    replaced = samples.sparkSession.read.schema(replaced.schema).parquet(path)
+    rows = with_versions(samples, replaced, scan.by, scan.order, max_versions)
     is_struct = isinstance(samples.schema["value"].dataType, T.StructType)
     known = [c for c in ("type", "shape") if c in samples.columns]
     keys = [c for c in (*scan.by, "channel") if c in replaced.columns]
@@ -160,10 +168,13 @@ def versioned_columns(
     changes = per_stream.groupBy("channel").agg(F.max("n").alias("n"))
     counted = changes.collect()
     for r in counted:
-        if r["n"] > MAX_VERSIONS:
-            raise ValueError(f"column {r['channel']} replaced more than {MAX_VERSIONS} times")
-    columns = rows.select("channel", "column", *known).distinct()
-    listed = {(r["channel"], r["column"]): r.asDict() for r in columns.collect()}
+        if r["n"] > max_versions:
+            raise ValueError(f"column {r['channel']} replaced more than {max_versions} times")
+    listed: dict[tuple[str, str], dict] = {}
+    for r in rows.select("channel", "column", *known).distinct().collect():
+        if is_struct and (r["channel"], r["column"]) in listed:
+            raise ValueError(f"column {r['column']} has rows of several types or shapes; replace it where they change")
+        listed[r["channel"], r["column"]] = r.asDict()
     for r in counted:
         # A version that was replaced before it got any row still has its (empty) column.
         for v in range(1, r["n"] + 1):

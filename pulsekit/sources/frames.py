@@ -480,10 +480,8 @@ def encode_frames(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         headers: dict[tuple, tuple[bytes, str]] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, len(defs))):
             n = batch.num_rows
-            if not n:
-                continue
             columns = [batch.column(len(kept) + i) for i in range(len(defs))]
             heads, hashes = _headers_of(columns, defs, open_shapes, n, header_compression, headers)
             parts = [heads]
@@ -524,6 +522,16 @@ def encode_frames(
     )
 
 
+def _slices(batch: pa.RecordBatch, channels: int, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose parts stay below `most` bytes; a value grows eightfold at most, and has 16 bytes of time."""
+    if not batch.num_rows:
+        return
+    a_row = 8 * batch.nbytes / batch.num_rows + 16 * channels
+    step = max(1, int(most // a_row))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def _headers_of(
     columns: list[pa.Array],
     defs: list[ChannelDef],
