@@ -48,10 +48,9 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     if not letter.any():
         return None
     # runs of anything but letters become one space, and the text stands between spaces
-    first = letter & np.r_[True, ~letter[:-1]]
     codes = np.where(letter, codes, 32)
     keep = letter | np.r_[True, letter[:-1]]
-    codes = np.r_[[] if first[0] else [], codes[keep]].astype(np.uint32)
+    codes = codes[keep].astype(np.uint32)
     codes = np.r_[np.uint32(32) if codes[0] != 32 else codes[:0], codes, np.uint32(32) if codes[-1] != 32 else codes[:0]]
     hashed, running = [], np.zeros(len(codes), np.uint32)
     for n in range(LONGEST):
@@ -114,40 +113,44 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ngram, pa.int32()), pa.array(count, pa.int64())], ["ngram", "df"])
 
 
+_VECTORS = "at array<int>, value array<double>, y int, h long"
+
+
 def _vectors(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     place = {lang: i for i, lang in enumerate(model.langs)}
     for batch in batches:
-        rows = [(model.vector(t.as_py()), place[lang.as_py()]) for t, lang in zip(batch.column(0), batch.column(1))]
-        rows = [(v, y) for v, y in rows if v is not None]
+        texts, langs, order = (c.to_pylist() for c in batch.columns)
+        rows = [(model.vector(t), place[lang], h) for t, lang, h in zip(texts, langs, order)]
+        rows = [r for r in rows if r[0] is not None]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([v[0] for v, _ in rows], pa.list_(pa.int32())),
-                pa.array([v[1] for v, _ in rows], pa.list_(pa.float64())),
-                pa.array([y for _, y in rows], pa.int32()),
+                pa.array([v[0] for v, _, _ in rows], pa.list_(pa.int32())),
+                pa.array([v[1] for v, _, _ in rows], pa.list_(pa.float64())),
+                pa.array([y for _, y, _ in rows], pa.int32()),
+                pa.array([h for _, _, h in rows], pa.int64()),
             ],
-            ["at", "value", "y"],
+            ["at", "value", "y", "h"],
         )
 
 
-def _pass(batches: Iterator[pa.RecordBatch], z: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One shard, once, in the order of its rows; yields the state it ends with."""
+def _pass(shard: pa.Table, z: np.ndarray, n: np.ndarray) -> pa.Table:
+    """One shard, once, in the order of its hashes; the state it ends with."""
     z, n = z.copy(), n.copy()
-    seen = 0
-    for batch in batches:
-        for at, value, y in zip(batch.column(0), batch.column(1), batch.column(2)):
-            i, x = at.values.to_numpy(), value.values.to_numpy()
-            w = _weights(z[i], n[i])
-            slope = _softmax(x @ w)
-            slope[y.as_py()] -= 1
-            g = x[:, None] * slope
-            squared = n[i] + g * g
-            z[i] += g - (np.sqrt(squared) - np.sqrt(n[i])) / ALPHA * w
-            n[i] = squared
-            seen += 1
-    if seen:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([z.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary()), pa.array([seen], pa.int64())], ["z", "n", "seen"]
-        )
+    shard = shard.sort_by([("h", "ascending"), ("y", "ascending")])
+    for at, value, y in zip(*(shard.column(c) for c in ("at", "value", "y"))):
+        i, x = at.values.to_numpy(), value.values.to_numpy()
+        w = _weights(z[i], n[i])
+        slope = _softmax(x @ w)
+        slope[y.as_py()] -= 1
+        g = x[:, None] * slope
+        squared = n[i] + g * g
+        z[i] += g - (np.sqrt(squared) - np.sqrt(n[i])) / ALPHA * w
+        n[i] = squared
+    return pa.table({"z": pa.array([z.tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary()), "seen": [shard.num_rows]})
+
+
+def _state(rows: DataFrame, z: np.ndarray, n: np.ndarray) -> list:
+    return rows.groupBy("shard").applyInArrow(lambda t: _pass(t, z, n), "z binary, n binary, seen long").collect()
 
 
 def fit(docs: DataFrame, max_training: int = MAX_TRAINING) -> Model:
@@ -162,19 +165,20 @@ def fit(docs: DataFrame, max_training: int = MAX_TRAINING) -> Model:
     total = counts.pop(-1, 0)
     df = np.zeros(1 << HASH_BITS)
     df[list(counts)] = list(counts.values())
-    chosen = docs.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1_000_000)))
-    chosen = chosen.where(F.col("h") < 1_000_000 * min(1.0, max_training / max(1, total)))
+    chosen = docs.withColumn("h", F.xxhash64("text"))
+    chosen = chosen.where(F.pmod("h", F.lit(1_000_000)) < 1_000_000 * min(1.0, max_training / max(1, total)))
     langs = sorted(r.lang for r in chosen.select("lang").distinct().collect())
     model = Model(langs, np.log((1 + total) / (1 + df)) + 1)
     if not langs:
         return model
-    chosen = chosen.repartition(SHARDS, "h").sortWithinPartitions("h", "text").withColumn("held", F.col("h") % 10 == 0)
-    held = chosen.where("held").select("text", "lang").mapInArrow(lambda b: _vectors(b, model), "at array<int>, value array<double>, y int")
-    rows = settled(chosen.where("NOT held").select("text", "lang").mapInArrow(lambda b: _vectors(b, model), "at array<int>, value array<double>, y int"), "langid")
+    rows = settled(chosen.select("text", "lang", "h").mapInArrow(lambda b: _vectors(b, model), _VECTORS), "langid")
+    tenth = F.pmod(F.col("h").bitwiseXOR(F.shiftright("h", 32)), F.lit(10))
+    held, rows = rows.where(tenth == 0), rows.where(tenth > 0).withColumn("shard", F.pmod("h", F.lit(SHARDS)))
     shape = ((1 << HASH_BITS) + 1, len(langs))
     z, n = np.zeros(shape), np.zeros(shape)
     for _ in range(ROUNDS):
-        state = rows.mapInArrow(lambda b, z=z, n=n: _pass(b, z, n), "z binary, n binary, seen long").collect()
+        # as many rows as shards, whatever the number of partitions
+        state = _state(rows, z, n)
         share = np.array([s.seen for s in state], float) / max(1, sum(s.seen for s in state))
         if not state:
             break
