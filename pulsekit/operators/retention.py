@@ -50,8 +50,11 @@ def _micros(ts: Column) -> Column:
 
 
 _KEYS = ["axis", "backend", "channel"]
-# Levels of the tree of ranks below: four to the power of it is more than a channel can have rules.
-_RANK_LEVELS = 16
+
+
+def _levels(ranks: Column) -> Column:
+    """The levels, from 0, at which blocks of four to the power of the level fit into that many ranks, and one more."""
+    return F.sequence(F.lit(0), F.floor(F.log2(ranks.cast("double")) / 2).cast("int") + 1)
 
 
 def _ranges(rules: DataFrame) -> DataFrame:
@@ -76,12 +79,12 @@ def _segments(rules: DataFrame) -> DataFrame:
     bounds = ranges.select(*_KEYS, F.explode(F.array("lo", "end")).alias("at")).distinct()
     in_order = Window.partitionBy(*_KEYS).orderBy("at")
     bounds = bounds.withColumn("rank", F.row_number().over(in_order) - 1).withColumn("next", F.lead("at").over(in_order))
+    bounds = bounds.withColumn("of", F.count("*").over(Window.partitionBy(*_KEYS)))
     rank = lambda bound: bounds.select(*_KEYS, F.col("at").alias(bound), F.col("rank").cast("bigint").alias(f"_{bound}"))
     ranked = ranges.join(rank("lo"), [*_KEYS, "lo"]).join(rank("end"), [*_KEYS, "end"])
-    levels = F.explode(F.sequence(F.lit(0), F.lit(_RANK_LEVELS - 1))).alias("level")
     up = lambda c, level: F.expr(f"-(-{c} >> (2 * ({level})))")  # noqa: E731  rounded up
     down = lambda c, level: F.expr(f"{c} >> (2 * ({level}))")
-    cut = ranked.select(*_KEYS, "rule_seq", "ttl_s", "_lo", "_end", levels)
+    cut = ranked.select(*_KEYS, "rule_seq", "ttl_s", "_lo", "_end", F.explode(_levels(F.col("_end") - F.col("_lo"))).alias("level"))
     cut = cut.withColumn("a", up("_lo", "level")).withColumn("b", down("_end", "level")).where("a < b")
     cut = cut.withColumn("pa", up("_lo", "level + 1") * 4).withColumn("pb", down("_end", "level + 1") * 4)
     # what the next level covers is left to it
@@ -95,7 +98,7 @@ def _segments(rules: DataFrame) -> DataFrame:
     blocks = F.array_distinct(F.when(F.col("pa") < F.col("pb"), outside).otherwise(whole))
     nodes = cut.withColumn("block", F.explode(blocks)).groupBy(*_KEYS, "level", "block")
     nodes = nodes.agg(F.max(F.struct("rule_seq", "ttl_s")).alias("rule"))
-    stretches = bounds.where("next IS NOT NULL").select(*_KEYS, "rank", "at", "next", levels)
+    stretches = bounds.where("next IS NOT NULL").select(*_KEYS, "rank", "at", "next", F.explode(_levels(F.col("of"))).alias("level"))
     stretches = stretches.withColumn("block", F.expr("CAST(rank AS BIGINT) >> (2 * level)"))
     found = stretches.join(nodes, [*_KEYS, "level", "block"]).groupBy(*_KEYS, "at", "next").agg(F.max("rule").alias("rule"))
     return found.select(*_KEYS, F.col("at").alias("lo"), (F.col("next") - 1).alias("hi"), "rule.rule_seq", "rule.ttl_s")
