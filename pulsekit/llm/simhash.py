@@ -125,8 +125,10 @@ def _forest(points: np.ndarray, distance: int, left: np.ndarray | None = None) -
             group[np.isin(group, met)] = group[at]
 
 
-def _cells(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Links found in the cells of one partition; rows are (cell, side, point), a cell lies in one partition."""
+def _cells(batches: Iterator[pa.RecordBatch], distance: int, cell_rows: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) found in the cells of one partition; rows are (cell, side, point), a cell lies in one partition.
+
+    Of a cell with more than `cell_rows` points only its name is given, with a NULL link."""
     cells, sides, points = [], [], []
     for batch in batches:
         cells.append(batch.column(0).to_numpy())
@@ -135,29 +137,33 @@ def _cells(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
     if not cells:
         return
     cell, side, point = np.concatenate(cells), np.concatenate(sides), np.concatenate(points).view(np.uint64)
+    del cells, sides, points
     order = np.argsort(cell, kind="stable")
     cell, side, point = cell[order], side[order], point[order]
     starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     ends = np.r_[starts[1:], len(cell)]
     size = ends - starts
-    from_, to = [], []
     # cells of two are by far the most: all at once
     two = starts[size == 2]
     a, b = point[two], point[two + 1]
-    ok = np.bitwise_count(_sort_bits(a) ^ _sort_bits(b)) <= distance
+    ok = (side[two] == 0) | (side[two] != side[two + 1])
+    ok &= np.bitwise_count(_sort_bits(a) ^ _sort_bits(b)) <= distance
     ok[ok] = np.bitwise_count(a[ok] ^ b[ok]) <= distance
-    from_.append(a[ok])
-    to.append(b[ok])
-    for i, j in zip(starts[size > 2].tolist(), ends[size > 2].tolist()):
-        own = point[i:j]
-        flags = side[i:j]
+    from_, to = [a[ok]], [b[ok]]
+    some = (size > 2) & (size <= cell_rows)
+    for i, j in zip(starts[some].tolist(), ends[some].tolist()):
+        own, flags = point[i:j], side[i:j]
         pairs = _forest(own, distance, flags == 1 if flags.any() else None)
         if pairs:
             index = np.array(pairs)
             from_.append(own[index[:, 0]])
             to.append(own[index[:, 1]])
     a, b = np.concatenate(from_).view(np.int64), np.concatenate(to).view(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+    large = cell[starts[size > cell_rows]]
+    nulls = lambda n: pa.nulls(n, pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), nulls(len(a))], ["a", "b", "cell"])
+    if len(large):
+        yield pa.RecordBatch.from_arrays([nulls(len(large)), nulls(len(large)), pa.array(large)], ["a", "b", "cell"])
 
 
 def links(fingerprints: DataFrame, distance: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -165,33 +171,32 @@ def links(fingerprints: DataFrame, distance: int = 4, cell_rows: int = CELL_ROWS
     `distance` differing bits connect. A fingerprint without a link has no row."""
     if not 0 <= distance < BLOCKS:
         raise ValueError(f"distance must lie between 0 and {BLOCKS - 1}")
+    spark = fingerprints.sparkSession
     masks = F.array(*[F.lit(m) for m in _masks(distance)])
-    rows = fingerprints.select("fp", F.posexplode(masks).alias("grid", "mask")).select(
+    # few bytes but many cells: spread over all tasks before they multiply
+    spread = fingerprints.select("fp").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
+    rows = spread.select("fp", F.posexplode(masks).alias("grid", "mask")).select(
         F.xxhash64("grid", _thermometer(F.col("fp")).bitwiseAND(F.col("mask"))).alias("cell"), "fp"
     )
     # Two cells may share a hash: that only adds candidates, every link is verified.
-    large = rows.groupBy("cell").count().where(F.col("count") > cell_rows)
-    large = large.select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("chunks"))
-    large = settled(large, "large-cells")  # few or none: Spark sees their size before it plans the join
-    chunk = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("chunks")).cast("int")
-    unit = rows.join(large, "cell", "left").withColumn("chunk", chunk)
-    # a chunk meets itself and every other chunk; in a pair of chunks, sides 1 and 2 are told apart
-    spread = F.when(F.col("chunks").isNull(), F.array(F.lit(None).cast("int"))).otherwise(
-        F.sequence(F.lit(0), F.col("chunks") - 1)
-    )
-    unit = unit.withColumn("other", F.explode(spread)).select(
-        F.when(F.col("other").isNull(), F.col("cell"))
-        .otherwise(F.xxhash64("cell", F.least("chunk", "other"), F.greatest("chunk", "other")))
-        .alias("cell"),
-        F.when(F.col("other").isNull() | (F.col("chunk") == F.col("other")), 0)
-        .when(F.col("chunk") < F.col("other"), 1)
-        .otherwise(2)
-        .cast("byte")
-        .alias("side"),
+    schema, one = "a long, b long, cell long", F.lit(0).cast("byte")
+    compare = lambda df, most: df.repartition("cell").mapInArrow(lambda b: _cells(b, distance, most), schema)
+    found = settled(compare(rows.select("cell", one.alias("side"), "fp"), cell_rows), "links")
+    pairs = found.where("cell IS NULL").select("a", "b").distinct()
+    large = found.where("cell IS NOT NULL").select("cell")
+    if not large.limit(1).count():
+        return pairs
+    # Large cells: each chunk of one meets itself and every other chunk; in a pair of chunks, sides 1 and 2 are told apart.
+    rows = rows.join(large, "cell")
+    chunks = rows.groupBy("cell").agg(F.ceil(F.count("*") * 2 / cell_rows).cast("int").alias("chunks"))
+    unit = rows.join(chunks, "cell").withColumn("chunk", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("chunks")).cast("int"))
+    unit = unit.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        F.xxhash64("cell", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("cell"),
+        F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).cast("byte").alias("side"),
         "fp",
     )
-    found = unit.repartition(F.col("cell")).mapInArrow(lambda b: _cells(b, distance), "a long, b long")
-    return found.distinct()
+    # chunks are dealt by hash, so their sizes vary a little; all are compared
+    return pairs.unionAll(compare(unit, 1 << 62).select("a", "b")).distinct()
 
 
 def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
