@@ -32,19 +32,25 @@ _BLOCK_BITS = 64 // BLOCKS
 CELL_ROWS = 50_000
 
 
-def _fingerprint(data: bytes | None, width: int) -> int:
+def shingle_hashes(data: bytes | None, width: int) -> np.ndarray:
+    """Hashes of the shingles of a text, repeats included; a text of fewer words has one shingle, all its words."""
     import xxhash
 
     words = (data or b"").lower().split()  # on bytes: lower-cases A-Z only, cuts at the six ASCII gaps only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     n = max(1, len(words) - width + 1)
     spans = zip(starts[:n].tolist(), ends[min(width, len(words)) - 1 :].tolist())
-    hashes = np.fromiter((xxhash.xxh64_intdigest(joined[i:j], SEED) for i, j in spans), "<u8", n)
+    return np.fromiter((xxhash.xxh64_intdigest(joined[i:j], SEED) for i, j in spans), "<u8", n)
+
+
+def _fingerprint(data: bytes | None, width: int) -> int:
+    hashes = shingle_hashes(data, width)
+    n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 65_536):
         bits = np.unpackbits(hashes[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -250,7 +256,12 @@ def near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4, cell_row
 def _classes(marked: DataFrame, distance: int, cell_rows: int) -> DataFrame:
     """`marked` (doc_id, fp, ...) with the label and the component_id of each row."""
     points = settled(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    labels = connected(links(points.select("fp"), distance, cell_rows))
+    return classes_of(marked, points, links(points.select("fp"), distance, cell_rows))
+
+
+def classes_of(marked: DataFrame, points: DataFrame, found: DataFrame) -> DataFrame:
+    """`marked` with the label and component_id of each row, from links `found` among `points` (fp, least doc_id)."""
+    labels = connected(found)
     named = points.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     linked = named.where("label IS NOT NULL")
     least = linked.groupBy("label").agg(F.min("least").alias("component_id"))
