@@ -10,8 +10,9 @@ of pieces of one scan task, and a sequence id holds the task's number.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -41,8 +42,23 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(path: str):
-    """A function from text to ids, the same ids the tokenizers library gives with byte_bpe_50k.json (see tests)."""
+def added_tokens() -> dict[str, int]:
+    """The vocabulary's added tokens, which the tokenizers library by default cuts out of a text before all else."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    for t in listed:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+            raise ValueError(f"added token {t['content']!r} takes more than its own characters")
+    return {t["content"]: t["id"] for t in listed}
+
+
+def encoder(path: str, added: Mapping[str, int] | None = None):
+    """A function from text to ids, the same ids the tokenizers library gives with byte_bpe_50k.json (see tests).
+
+    With `added` tokens, as `added_tokens` lists them, this is the library's default; without, they are plain text.
+    """
     import public_tokenizers
     import regex
     import tiktoken
@@ -52,7 +68,18 @@ def encoder(path: str):
     make = lambda name, pattern: tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     full, plain = make("full", public_tokenizers.PATTERN), make("plain", _PLAIN)
     gaps = regex.compile(_GAPS)
-    return lambda text: (full if gaps.search(text) or text[-1:].isspace() else plain).encode_ordinary(text)
+    part = lambda text: (full if gaps.search(text) or text[-1:].isspace() else plain).encode_ordinary(text)
+    if not added:
+        return part
+    cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+
+    def whole(text: str) -> list[int]:
+        parts = cut.split(text)
+        if len(parts) == 1:
+            return part(text)
+        return [i for k, p in enumerate(parts) for i in ((added[p],) if k % 2 else part(p))]
+
+    return whole
 
 
 def difference(lengths: list[int], windows: int) -> list[list[int]]:
@@ -115,11 +142,13 @@ def cuts(total: int, capacity: int, piece: int) -> list[tuple[int, int]]:
     return made + [(i, j - i) for i, j in zip(at, at[1:])]
 
 
-def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, piece: int, batch: int) -> Iterator[pa.RecordBatch]:
+def _pack(
+    batches: Iterator[pa.RecordBatch], path: str, added: Mapping[str, int], capacity: int, piece: int, batch: int
+) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     sequence = TaskContext.get().partitionId() << 40
-    encode = encoder(path)
+    encode = encoder(path, added)
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     out: list[tuple] = []
     waiting: list[tuple] = []
@@ -164,7 +193,7 @@ def pack(
     """Rows of `SCHEMA`, one per piece: where it lies in its document and in its sequence, and the sequence's tokens.
 
     Every document ends with id 1, so a NULL or empty text is the one id 1. Repeated rows are packed each. Extra columns
-    are not read. `vocabulary` is the path of the ranks on every executor.
+    are not read. `vocabulary` is the path of the ranks on every executor. An added token in a text is its one id.
     """
-    path = vocabulary or vocabulary_path()
-    return docs.select("doc_id", "text").mapInArrow(lambda b: _pack(b, path, capacity, piece, batch), SCHEMA)
+    path, added = vocabulary or vocabulary_path(), added_tokens()
+    return docs.select("doc_id", "text").mapInArrow(lambda b: _pack(b, path, added, capacity, piece, batch), SCHEMA)

@@ -86,3 +86,16 @@ def test_odd_rows(odd, none, reference):
     twice = packing.pack(odd.where("doc_id = 5")).groupBy("start").count().collect()
     assert {r["count"] for r in twice} == {2}
     assert packing.pack(none).count() == 0
+
+
+def test_added_tokens_as_the_library_does_by_default(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    default = lambda text: library.encode(text, add_special_tokens=False).ids
+    assert default("a<|endoftext|>b") == [64, 50256, 65]
+    encode = packing.encoder(packing.vocabulary_path(), packing.added_tokens())
+    rng = random.Random(9)
+    pieces = ["<|endoftext|>", "<|endoftext|>", "<|endof", "|>", "a", "é", " ", "  ", "\n", "'s", "12", "!?", "😀"]
+    texts = ["", "<|endoftext|>"] + ["".join(rng.choice(pieces) for _ in range(rng.randrange(20))) for _ in range(2000)]
+    assert [t for t in texts if encode(t) != default(t)] == []
+    rows = list(enumerate(texts[:200]))
+    checked(packing.pack(spark.createDataFrame(rows, "doc_id long, text string")), rows, default)
