@@ -1,7 +1,7 @@
 """Language identification by sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Trained with follow-the-regularised-leader and an elastic net: the shards of a bounded sample are each passed by one
-task, and the driver averages their states between rounds (a state is of fixed size). A temperature, fitted on sampled
+Languages are those of all documents. Trained with follow-the-regularised-leader and an elastic net: the shards of a
+bounded sample of distinct texts, some of every language, are each passed by one task, and the driver averages their states between rounds (a state is of fixed size). A temperature, fitted on sampled
 documents left out of training, calibrates the probabilities. Document frequencies cover every document learned from.
 """
 
@@ -12,15 +12,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import free_name, settled
 
 HASH_BITS = 15
 LONGEST = 3
-# Documents, expected, in the sample the weights are trained on.
+# Distinct texts in the sample the weights are trained on, dealt to the languages by their shares, and the texts that any
+# language gives, if it has as many: at most MAX_TRAINING + (LEAST_TRAINING + 1) * languages in all.
 MAX_TRAINING = 6000
+LEAST_TRAINING = 100
 SHARDS = 4
 ROUNDS = 2
 # Follow-the-regularised-leader: learning rate and its damping, L1 and L2 of the elastic net.
@@ -113,23 +115,24 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ngram, pa.int32()), pa.array(count, pa.int64())], ["ngram", "df"])
 
 
-_VECTORS = "at array<int>, value array<double>, y int, h long"
+_VECTORS = "at array<int>, value array<double>, y int, h long, held boolean"
 
 
 def _vectors(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     place = {lang: i for i, lang in enumerate(model.langs)}
     for batch in batches:
-        texts, langs, order = (c.to_pylist() for c in batch.columns)
-        rows = [(model.vector(t), place[lang], h) for t, lang, h in zip(texts, langs, order)]
+        columns = (c.to_pylist() for c in batch.columns)
+        rows = [(model.vector(t), place[lang], h, held) for t, lang, h, held in zip(*columns)]
         rows = [r for r in rows if r[0] is not None]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([v[0] for v, _, _ in rows], pa.list_(pa.int32())),
-                pa.array([v[1] for v, _, _ in rows], pa.list_(pa.float64())),
-                pa.array([y for _, y, _ in rows], pa.int32()),
-                pa.array([h for _, _, h in rows], pa.int64()),
+                pa.array([v[0] for v, *_ in rows], pa.list_(pa.int32())),
+                pa.array([v[1] for v, *_ in rows], pa.list_(pa.float64())),
+                pa.array([y for _, y, *_ in rows], pa.int32()),
+                pa.array([h for *_, h, _ in rows], pa.int64()),
+                pa.array([held for *_, held in rows], pa.bool_()),
             ],
-            ["at", "value", "y", "h"],
+            ["at", "value", "y", "h", "held"],
         )
 
 
@@ -153,11 +156,35 @@ def _state(rows: DataFrame, z: np.ndarray, n: np.ndarray) -> list:
     return rows.groupBy("shard").applyInArrow(lambda t: _pass(t, z, n), "z binary, n binary, seen long").collect()
 
 
+def sample(docs: DataFrame, max_training: int = MAX_TRAINING, least: int = LEAST_TRAINING) -> tuple[list[str], DataFrame]:
+    """All languages of `docs` (text, lang) with a letter in some text, and training rows (text, lang, h, held) of each.
+
+    Texts are distinct within a language and taken in the order of their hashes: a language gives its share of
+    `max_training`, rounded up, but no fewer than `least` while it has them, and never more. Every tenth is held out.
+    """
+    lettered = docs.where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    keys = settled(lettered.select("lang", "h").distinct(), "langid-texts")
+    counts = {r.lang: r["count"] for r in keys.groupBy("lang").count().collect()}  # a row per language
+    if not counts:
+        return [], lettered.select("text", "lang", "h", F.lit(False).alias("held"))
+    total = sum(counts.values())
+    quota = {lang: max(least, -(-max_training * n // total)) for lang, n in counts.items()}
+    # hashes below a limit first, more than enough of them: the ranking then sees a bounded number of rows
+    limits = [(lang, quota[lang], int(min(1.0, (quota[lang] * 1.5 + 200) / n) * (1 << 31))) for lang, n in counts.items()]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, quota long, below long")
+    at = F.pmod("h", F.lit(1 << 31))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(at, "h"))
+    drawn = keys.join(limits, "lang").where(at < F.col("below")).withColumn("rank", rank).where("rank <= quota")
+    drawn = settled(drawn.select("lang", "h", (F.col("rank") % 10 == 0).alias("held")), "langid-drawn")
+    rows = lettered.join(drawn, ["lang", "h"]).dropDuplicates(["lang", "h"])
+    return sorted(counts), rows.select("text", "lang", "h", "held")
+
+
 def fit(docs: DataFrame, max_training: int = MAX_TRAINING) -> Model:
     """Learn from the `text` and `lang` of `docs`, rows without either aside. Without rows the model knows no language.
 
-    Weights come from a sample, by hash of the text, of `max_training` documents expected, a tenth of which only
-    calibrates the temperature; frequencies come from all.
+    Languages are those of all rows. Weights come from a `sample` of distinct texts of every language, a tenth of which
+    only calibrates the temperature; frequencies come from all.
     """
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
     found = docs.select("text").mapInArrow(_frequencies, "ngram int, df long").groupBy("ngram").agg(F.sum("df").alias("df"))
@@ -165,15 +192,12 @@ def fit(docs: DataFrame, max_training: int = MAX_TRAINING) -> Model:
     total = counts.pop(-1, 0)
     df = np.zeros(1 << HASH_BITS)
     df[list(counts)] = list(counts.values())
-    chosen = docs.withColumn("h", F.xxhash64("text"))
-    chosen = chosen.where(F.pmod("h", F.lit(1_000_000)) < 1_000_000 * min(1.0, max_training / max(1, total)))
-    langs = sorted(r.lang for r in chosen.select("lang").distinct().collect())
+    langs, chosen = sample(docs, max_training)
     model = Model(langs, np.log((1 + total) / (1 + df)) + 1)
     if not langs:
         return model
-    rows = settled(chosen.select("text", "lang", "h").mapInArrow(lambda b: _vectors(b, model), _VECTORS), "langid")
-    tenth = F.pmod(F.col("h").bitwiseXOR(F.shiftright("h", 32)), F.lit(10))
-    held, rows = rows.where(tenth == 0), rows.where(tenth > 0).withColumn("shard", F.pmod("h", F.lit(SHARDS)))
+    rows = settled(chosen.mapInArrow(lambda b: _vectors(b, model), _VECTORS), "langid")
+    held, rows = rows.where("held"), rows.where("NOT held").withColumn("shard", F.pmod("h", F.lit(SHARDS)))
     shape = ((1 << HASH_BITS) + 1, len(langs))
     z, n = np.zeros(shape), np.zeros(shape)
     for _ in range(ROUNDS):

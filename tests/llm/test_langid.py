@@ -50,3 +50,20 @@ def test_odd_rows(spark, odd, none):
     assert langid.accepted(none, model).count() == 0
     one = langid.fit(docs.where("lang = 'fr'"))
     assert langid.identify(docs.limit(1), one).first().language == ("fr", 1.0)
+
+
+def test_every_language_is_learned_and_copies_count_once(spark):
+    rows = made(3000, 7)
+    rng = random.Random(8)
+    rare = [" ".join("".join(rng.choice(["zq", "ox", "yk", "uu"]) for _ in range(3)) for _ in range(30)) for _ in range(40)]
+    rows += [(9000 + i, t, "zz") for i, t in enumerate(rare)] + [(10_000 + i, rows[0][1], rows[0][2]) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, drawn = langid.sample(docs.select("text", "lang"), 60, 10)
+    got = drawn.collect()
+    assert langs == ["de", "en", "fr", "zz"] and {r.lang for r in got if not r.held} == set(langs)
+    assert len(got) <= 60 + 11 * len(langs) and len({(r.lang, r.text) for r in got}) == len(got)
+    assert sum(r.lang == "zz" for r in got) == 10
+    model = langid.fit(docs, 60)
+    assert model.langs == langs
+    found = langid.identify(docs.where("lang = 'zz'"), model).select("language.lang_pred").collect()
+    assert [r.lang_pred for r in found] == ["zz"] * 40
