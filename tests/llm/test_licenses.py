@@ -44,3 +44,20 @@ def test_odd_rows(odd, none):
     assert licenses.scan(none).count() == 0
     assert licenses.scan(odd, {}).where(F.size("licenses_") > 0).count() == 0
     assert re.search(licenses.ANCHORS, "LICENCE", re.IGNORECASE)
+
+
+def names(text):
+    found = licenses.Scanner(licenses.TEMPLATES, licenses.TOLERANCE_PERCENT).scan(text)
+    assert all(text[n["start"] : n["end"]] == n["text"] and text[: n["start"]].count("\n") == n["line"] for n in found)
+    return [n["license"] for n in found]
+
+
+def test_wrapped_notices_and_copies():
+    for name, text in licenses.TEMPLATES.items():
+        for mark in ("\n", "\n# ", "\r\n * ", "\n// "):
+            for width in (2, 5, 11):
+                parts = text.split()
+                wrapped = mark.join(" ".join(parts[i : i + width]) for i in range(0, len(parts), width))
+                assert names(f"first line{mark}{wrapped}{mark}last line") == [name]
+        assert names(" ".join([text] * 3)) == [name] * 3
+        assert names(f"{text} and\nagain {text}") == [name] * 2
