@@ -34,12 +34,15 @@ TEMPLATES = {
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
     "associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "proprietary": "Copyright. All rights reserved.",
+    "all-rights-reserved": "All rights reserved.",
+    "proprietary": "Copyright ... All rights reserved.",
 }
 # A notice of any template holds one of these.
 ANCHORS = r"licen[sc]|permission|permitted|copyright|public\W+domain|rights\W+reserved"
 # Words of a template, of a hundred, that may be missing or inserted; the digits of a version never.
 TOLERANCE_PERCENT = 10
+# Below ten words: templates of this many words may differ in one, but not lose a word that no other template has.
+SHORT_WORDS = 5
 SLOT_WORDS = 16
 
 SCHEMA = (
@@ -118,6 +121,8 @@ class Scanner:
             raw = zstandard.ZstdCompressionDict(t.dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given.append(zstandard.ZstdCompressor(level=3, dict_data=raw))
         self.most = [tolerance * len(t.words) // 100 for t in self.templates]
+        if tolerance:
+            self.most = [max(m, int(len(t.words) >= SHORT_WORDS)) for m, t in zip(self.most, self.templates)]
         self.reach = max((len(t.words) + m + SLOT_WORDS * len(t.slots) for m, t in zip(self.most, self.templates)), default=0)
 
     def _fit(self, k: int, block: list[str], here: int) -> tuple[int, int, list[str], list[str]] | None:
@@ -134,10 +139,15 @@ class Scanner:
             wrong = missing + inserted
             if len(wrong) > self.most[k] or any(w[:1].isdigit() for w in wrong):
                 continue
+            if len(wrong) * 100 > self.tolerance * len(t.words) and any(self._own(w) for w in missing):
+                continue
             if best is None or len(wrong) < len(best[2] + best[3]):
                 best = (here - before[0], here + 1 + behind[0], missing, inserted)
         return best
 
+    def _own(self, word: str) -> bool:
+        return sum(word in t.words for t in self.templates) == 1
+
     def _block(self, text: str, words: list[re.Match], at: int, low: int) -> dict | None:
         """The notice around word `at`, not before word `low`; `last` is the number of the word behind it."""
         from_ = max(low, at - self.reach)

@@ -52,6 +52,15 @@ def names(text):
     return [n["license"] for n in found]
 
 
+def test_short_notices_and_slots():
+    assert names("some words\nAll rights reserved.\nmore") == ["all-rights-reserved"]
+    assert names("Copyright 2024 Jane Doe. All rights reserved.") == ["proprietary"]
+    assert names("Copyright (c) 1999-2024 The Example Company, Inc. All Rights Reserved") == ["proprietary"]
+    assert names("Released under the terms MIT License.") == ["MIT"] and names("Released under MIT License") == ["MIT"]
+    assert names("Released under the License.") == [] and names("Licensed under CC BY-SA 3.0.") == []
+    assert names("copyright law is old and all right, they reserved seats") == []
+
+
 def test_wrapped_notices_and_copies():
     for name, text in licenses.TEMPLATES.items():
         for mark in ("\n", "\n# ", "\r\n * ", "\n// "):
@@ -61,3 +70,15 @@ def test_wrapped_notices_and_copies():
                 assert names(f"first line{mark}{wrapped}{mark}last line") == [name]
         assert names(" ".join([text] * 3)) == [name] * 3
         assert names(f"{text} and\nagain {text}") == [name] * 2
+
+
+def test_planted_table_against_a_plain_count(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = licenses.scan(docs).select(F.explode("licenses").alias("n")).groupBy("n.license").count().collect()
+    plain = {
+        "all-rights-reserved": r"(?i)\ball rights reserved", "MIT": r"(?i)released under the mit license",
+        "Apache-2.0": r"(?i)licensed under the apache license, version 2\.0", "CC-BY-NC-4.0": r"(?i)licensed under cc by-nc 4\.0",
+        "GPL-3.0": r"(?i)licensed under the gnu general public license, version 3",
+    }
+    want = {k: docs.select(F.sum(F.regexp_count("text", F.lit(v)))).first()[0] for k, v in plain.items()}
+    assert {r.license: r["count"] for r in got} == {k: n for k, n in want.items() if n} and want["all-rights-reserved"] > 0
