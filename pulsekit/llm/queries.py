@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import langid, licenses, mixing, packing, quality, search, simhash, toolcalls, toxicity, urls
+from pulsekit.llm import (
+    divergence, langid, licenses, mixing, packing, quality, search, secret_scan, simhash, spelling, toolcalls, toxicity, urls,
+)
 from pulsekit.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +178,61 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = F.array(*[F.lit(x) for x in LISTED_LABELS])
     cascade = urls.build(hosts.withColumn("listed", F.arrays_overlap(F.split("key", r"\."), labels)))
     return urls.judge(pages, URL_RULES, cascade).select("page_id", "judged.*")
+
+
+_OP11_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+t AS (SELECT lang, source, r, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+groups AS (SELECT DISTINCT lang, source FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         CAST(1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (total + v) AS BIGINT) AS p
+  FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+q AS (
+  SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (sum(n) + 1)) // (any_value(total) + any_value(v)) AS BIGINT) AS q
+  FROM counts JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) USING (lang) JOIN sizes USING (lang)
+  GROUP BY lang, term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+@query("op11_source_divergence", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query("op12_secret_scan")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secret_scan.fit(secret_scan.labelled_tokens(docs))
+    spans = F.col("secrets")
+    number = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+    base = secret_scan.listed(spans, ("assign", "access", "hex"))
+    return secret_scan.scan(docs, model).select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"), secret_scan.listed(spans).alias("spans"),
+    )
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.words(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=31)
+    return spelling.variants(found).select("word", "form", "root", "n", "n_near", "form_n")
