@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import pulsekit  # noqa: E402
-from pulsekit.llm import langid, mixing, packing, quality, shingles  # noqa: E402
+from pulsekit.llm import langid, mixing, packing, quality, simhash  # noqa: E402
 from pulsekit.llm.common import settled, table  # noqa: E402
 
 cloudpickle.register_pickle_by_value(pulsekit)
@@ -41,9 +41,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group whose fingerprints over four-word shingles link at 4 or fewer differing bits."""
     _batches(spark)
-    return shingles.keep_one(docs)
+    return simhash.keep_one(docs, distance=4, width=4)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsekit.functions.identity import hashable
 from pulsekit.operators.scan import BUCKET_ROWS, OrderedScan
 
 # Columns of wide rows that are not channels.
@@ -207,13 +208,16 @@ def in_order(df: DataFrame) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def take_messages(df: DataFrame, n: int | None, order: str = "arrival_seq", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def take_messages(
+    df: DataFrame, n: int | None, order: str = "arrival_seq", bucket_rows: int = BUCKET_ROWS, checked: bool = True
+) -> DataFrame:
     """the first n usable messages in arrival order; 0 or None takes all.
 
     Ties in `order`, as between streams, go by stream_id and then by a hash of the row. Counts per bucket of arrivals say
-    which buckets are needed, for any n; only these are sorted, each by itself, and no task gathers n rows.
+    which buckets are needed, for any n; only these are sorted, each by itself, and no task gathers n rows. With `checked`
+    off, all rows are usable, not only valid messages.
     """
-    usable = valid_messages(df) if "header_hash" in df.columns else df
+    usable = valid_messages(df) if checked and "header_hash" in df.columns else df
     if not n:
         return usable
     bucket = F.expr(f"`{order}` div {bucket_rows}L")
@@ -221,7 +225,7 @@ def take_messages(df: DataFrame, n: int | None, order: str = "arrival_seq", buck
     before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     needed = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_before")).where(F.col("_before") < n)
-    ties = [c for c in ("stream_id",) if c in df.columns] + [F.xxhash64(*df.columns)]
+    ties = [c for c in ("stream_id",) if c in df.columns] + [F.xxhash64(*hashable(df))]
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(order, *ties))
     rows = rows.join(needed, "_bucket").withColumn("_place", F.col("_before") + place)
     return rows.where(F.col("_place") <= n).select(*df.columns)

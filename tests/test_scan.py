@@ -230,3 +230,8 @@ def test_last_rows_in_one_pass(data):
         got = OrderedScan(bucket_rows=5).last(df, n, "_rank")
         want = sorted(seq for messages in streams.values() for seq in sorted(r[1] for r in messages)[-n:])
         assert sorted(r[0] for r in rows(got, "arrival_seq")) == want
+
+
+def test_take_messages_with_a_map_column(spark):
+    df = spark.createDataFrame([(i // 2, {"k": i}) for i in range(10)], "arrival_seq long, m map<string,int>")
+    assert take_messages(df, 5).count() == 5
