@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import free_name, settled, word_count
+from pulsekit.functions.identity import row_tag
+from pulsekit.llm.common import settled, word_count
 
 # Weights of the sources in order of their names (code points, NULL last), repeating.
 WEIGHTS = (5, 2, 1)
@@ -38,8 +39,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int
     total = F.sum("source_size").over(full) * float(share)
     level = (total - filled) / (F.sum("weight").over(full) - used)
     ranked = ranked.withColumn("level", level)
-    # the first source whose cap lies above the level fixes it for itself and all after it
-    fixed = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(full)
+    # the first source whose cap lies above the level fixes it for itself and all after it, those of the same cap too
+    ranked = ranked.withColumn("nth", F.row_number().over(order))
+    fixed = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("nth", "level"))).over(full)
     target = F.least(F.coalesce(fixed["level"] * F.col("weight"), F.col("cap")), F.col("cap"))
     return ranked.select(*sizes.columns, target.alias("target"))
 
@@ -99,7 +101,7 @@ def mix(
     Sizes are words; a NULL or empty text has size 0 and nothing is taken of it. NULL is a source of its own, the last.
     Repeated rows stay apart on the line. An empty table gives no rows.
     """
-    tag = F.xxhash64(*docs.columns)
+    tag = row_tag(docs)
     rows = docs.select("doc_id", "source", _key().alias("key"), word_count("text").alias("size"), tag.alias("tag"))
     placed = settled(_placed(rows, seed), "placed")
     sizes = placed.groupBy("key", "source").agg(F.sum("size").cast("bigint").alias("source_size"))
@@ -146,14 +148,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A pass takes a source's line from its start, so at most two documents per source and pass are cut; those keep
     their first words, joined by single spaces. Documents of which nothing is taken, wordless ones too, are left out.
     """
-    tag, part = free_name(docs, "row_tag"), free_name(docs, "part")
-    taken = mix(docs, **options).where("taken > 0").select("tag", "size", F.explode("parts").alias("part")).where("part > 0")
-    taken = settled(taken.select(F.col("tag").alias("t_tag"), F.col("size").alias("t_size"), F.col("part").alias("t_part")), "taken")
+    # every name here is made longer than any column of the documents, and so is none of them
+    mark = "_" * (1 + max(map(len, docs.columns)))
+    tag, size, part, copies, t = (f"{mark}{c}" for c in ("tag", "size", "part", "copies", "t"))
+    taken = mix(docs, **options).where("taken > 0").select(F.col("tag").alias(t), F.col("size").alias(size), F.explode("parts").alias(part))
+    taken = settled(taken.where(F.col(part) > 0), "taken")
     # repeated rows share a tag and are taken one by one
-    n = free_name(docs, "copies")
-    taken = taken.groupBy("t_tag", "t_size", "t_part").agg(F.count("*").alias("t_n"))
-    rows = docs.withColumn(tag, F.xxhash64(*docs.columns)).dropDuplicates([tag])
-    rows = rows.join(taken, F.col(tag) == F.col("t_tag"))
-    text = F.when(F.col("t_part") < F.col("t_size"), _first_words(F.col("text"), F.col("t_part"))).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text).withColumn(part, F.explode(F.sequence(F.lit(1), F.col("t_n")))).withColumnRenamed(part, n)
-    return rows.select(*docs.columns)
+    taken = taken.groupBy(t, size, part).agg(F.count("*").alias(copies))
+    rows = docs.withColumn(tag, row_tag(docs)).dropDuplicates([tag]).join(taken, F.col(tag) == F.col(t))
+    text = F.when(F.col(part) < F.col(size), _first_words(F.col("text"), F.col(part))).otherwise(F.col("text"))
+    rows = rows.withColumn("text", text).withColumn(tag, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies))))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

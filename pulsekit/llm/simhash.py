@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsekit.functions.identity import row_tag
 from pulsekit.llm.common import free_name, settled, text_bytes
 
 SEED = 42
@@ -272,13 +273,14 @@ def classes_of(marked: DataFrame, points: DataFrame, found: DataFrame) -> DataFr
 
 
 def keep_one(docs: DataFrame, distance: int = 4, width: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """The documents with one row of each near-duplicate component: that of the smallest doc_id (then hash of the row).
+    """The documents with one row of each near-duplicate component: that of the smallest doc_id (then hash of the row,
+    128 bits over all its columns).
 
     Columns are those of `docs`. Of repeated rows one stays. A row with a NULL doc_id stays only where its component has
     no other.
     """
     fp, tag = free_name(docs, "fp"), free_name(docs, "row_tag")
-    keyed = docs.withColumn(fp, fingerprint("text", width)).withColumn(tag, F.xxhash64(*docs.columns))
+    keyed = docs.withColumn(fp, fingerprint("text", width)).withColumn(tag, row_tag(docs))
     marked = settled(keyed.select("doc_id", F.col(fp).alias("fp"), F.col(tag).alias("tag")), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag", "fp")
     winner = _classes(marked, distance, cell_rows).groupBy("label").agg(F.min(order).alias("w"))

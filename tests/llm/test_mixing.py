@@ -36,6 +36,34 @@ def test_targets(spark, seed):
     assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 * (1 + want[s]) for s in want)
 
 
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 500, "b": 200},  # proportional to the weights: both caps are met at one level
+        {c: 100 for c in "abcdefg"},
+        {"a": 0, "b": 0, None: 0},
+        {"a": 1000},
+        {"a": 5000, "b": 2000, "c": 1000, "d": 5000, "e": 10, None: 7},
+        {"a": 1, "b": 1_000_000, "c": 1},
+    ],
+)
+def test_targets_on_ties(spark, sizes):
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    want = plain_targets(sizes)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 * (1 + want[s]) for s in want)
+    assert abs(sum(got.values()) - 1.5 * sum(sizes.values())) < 1e-6 * (1 + sum(sizes.values()))
+
+
+def test_clashing_names_and_maps(spark):
+    rows = [(i, "some words " * (i % 5), "s", i, 2, 3, 4, {"k": str(i), "l": "x"}) for i in range(40)]
+    names = "doc_id long, text string, source string, t_tag long, t_size long, t_part int, t_n int, `a.b` map<string,string>"
+    docs = spark.createDataFrame(rows, names)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.select(F.sum(word_count("text"))).first()[0] == mixing.mix(docs).select(F.sum("taken")).first()[0] > 0
+
+
 def test_mix(spark, words):
     rng = random.Random(4)
     rows = [(i, sentence(rng, words, rng.randrange(1, 400)), rng.choice(["hot"] * 5 + ["a", "b", "c", None])) for i in range(600)]

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test table
 
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert set(queries.SQL) <= set(names)
 
 

@@ -105,3 +105,9 @@ def test_odd_rows(odd, none):
     # 1, 2 and 3 are one group, the repeated rows another; the row without id is alone and stays
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 4, 5, 6, 7, 8]
     assert simhash.near_duplicates(none).count() == simhash.keep_one(none).count() == 0
+
+
+def test_keep_one_with_a_map_column(spark):
+    rows = [(1, "one two three", {"a": 1}), (2, "one two three", {"a": 1}), (2, "one two three", {"a": 1}), (3, "else", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [1, 3]
