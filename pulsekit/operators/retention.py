@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.timestamps import epoch_micros, join_ts
+from pulsekit.operators.scan import BUCKET_ROWS, Borders, depth_borders
 from pulsekit.sources.scratch import scratch_dir
 
 RULES_SCHEMA = (
@@ -104,50 +105,57 @@ def _segments(rules: DataFrame) -> DataFrame:
     return found.select(*_KEYS, F.col("at").alias("lo"), (F.col("next") - 1).alias("hi"), "rule.rule_seq", "rule.ttl_s")
 
 
-def _filed(segments: DataFrame) -> DataFrame:
-    """Segments filed under blocks of a width that suits their length.
+def _as_of(rows: DataFrame, segments: DataFrame, at: str, borders: Borders, out: str) -> DataFrame:
+    """`rows` with `out`, the segment of their backend and channel whose range holds their value of `at`, or NULL.
 
-    `level` is the width in bits, in steps of six, and a segment touches two blocks of it, or one. Segments are disjoint
-    and no shorter than a 64th of their block, so a block holds 66 at most. The table is written: every level reads it.
+    Segments are disjoint, so that is the last one that starts at or before the value, if it ends at or behind it. Values
+    are cut into blocks of equal depth, and a segment is filed under every block it reaches into: a block then knows all it
+    needs, a busy channel is spread over its blocks, and the rows are shuffled once, by (backend, channel, block).
     """
-    bits = F.log2(F.greatest(F.col("hi").cast("double") - F.col("lo").cast("double"), F.lit(1.0)))
-    leveled = segments.withColumn("level", F.least(F.ceil(bits / 6) * 6, F.lit(60)).cast("int"))
-    blocked = leveled.withColumn("block", F.explode(F.sequence(F.expr("lo >> level"), F.expr("hi >> level"))))
-    rule = F.struct("rule_seq", "ttl_s", "lo", "hi")
-    filed = blocked.groupBy(*_KEYS, "level", "block").agg(F.collect_list(rule).alias("_filed"))
-    path = scratch_dir(segments.sparkSession, "rules")
-    filed.write.parquet(path)
-    return segments.sparkSession.read.schema(filed.schema).parquet(path)
-
-
-def _covering(at: Column) -> Column:
-    return F.filter("_filed", lambda r: at.between(r["lo"], r["hi"]))
-
-
-def apply_retention(samples: DataFrame, rules: DataFrame, default_ttl_s: int | None = None) -> DataFrame:
+    spread = -1 - F.pmod(F.xxhash64("pulse_id", "ts"), F.lit(4096))  # what has no place needs no company
+    rows = rows.withColumn("_block", F.coalesce(borders.bucket(F.col(at)), spread)).withColumn("_at", F.col(at))
+    rows = rows.withColumn("_sample", F.lit(True))
+    blocks = F.sequence(borders.bucket(F.col("lo")), borders.bucket(F.col("hi")))
+    filed = segments.select(
+        "backend", "channel", F.explode(blocks).alias("_block"), F.col("lo").alias("_at"), F.lit(False).alias("_sample"),
+        F.struct("hi", "rule_seq", "ttl_s").alias("_segment"),
+    ).where("backend IS NOT NULL AND channel IS NOT NULL")
+    both = rows.unionByName(filed, allowMissingColumns=True)
+    order = Window.partitionBy("backend", "channel", "_block").orderBy("_at", "_sample")
+    last = F.last("_segment", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = both.withColumn("_segment", last).where("_sample")
+    held = F.when(F.col("_at") <= F.col("_segment.hi"), F.struct("_segment.rule_seq", "_segment.ttl_s"))
+    return both.withColumn(out, held).drop("_block", "_at", "_sample", "_segment")
+
+
+def apply_retention(
+    samples: DataFrame, rules: DataFrame, default_ttl_s: int | None = None, block_rows: int = BUCKET_ROWS
+) -> DataFrame:
     """Each sample with the ttl of the latest rule that covers it, and `expires_at`.
 
     Bounds are inclusive. Samples need `backend`, `channel`, `pulse_id` and `ts` (or the second/nanosecond pair); a NULL in
-    one of the first three meets no rule. Rules become disjoint segments first. A sample looks in one block per segment
-    length in use (these, 22 at most, are looked up before): one left join each, by which samples are neither multiplied
-    nor joined back, so they need no key. How a join is done is left to Spark.
+    one of the first three meets no rule. Rules become disjoint segments first, of pulses and of times; for each kind there
+    is, samples meet them in one as-of pass of one shuffle. Samples are neither multiplied nor joined back, so they need no key.
     """
     if "ts" not in samples.columns:
         samples = samples.withColumn("ts", join_ts(F.col("ts_sec"), F.col("ts_ns")))
-    filed = _filed(_segments(rules))
-    levels = sorted((r["axis"], r["level"]) for r in filed.select("axis", "level").distinct().collect())
+    spark = samples.sparkSession
+    # only rules were shuffled up to here; both passes read them
+    path = scratch_dir(spark, "segments")
+    found = _segments(rules)
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    axes = {r["axis"] for r in found.select("axis").distinct().collect()}
     rows = samples.withColumn("_p", F.col("pulse_id").cast("bigint")).withColumn("_t", _micros(F.col("ts")))
+    wanted = [f"_{axis}" for axis in sorted(axes)]
     winners = []
-    for axis, level in levels:
-        name, at = f"_{axis}{level}", F.col(f"_{axis}")
-        here = filed.where((F.col("axis") == axis) & (F.col("level") == level)).select("backend", "channel", F.col("block").alias("_block"), "_filed")
-        rows = rows.withColumn("_block", F.shiftright(at, level)).join(here, ["backend", "channel", "_block"], "left")
-        rows = rows.withColumn(name, F.get(_covering(at), F.lit(0))).drop("_filed", "_block")
-        winners.append(F.struct(F.col(f"{name}.rule_seq"), F.col(f"{name}.ttl_s")))
-        winners[-1] = F.when(F.col(name).isNotNull(), winners[-1])
+    for at, borders in zip(wanted, depth_borders(rows, wanted, block_rows) if wanted else []):
+        mine = found.where(F.col("axis") == at[1:]).drop("axis")
+        rows = _as_of(rows, mine, at, borders, f"_held{at}")
+        winners.append(F.col(f"_held{at}"))
     best = F.greatest(*winners) if len(winners) > 1 else winners[0] if winners else F.lit(None).cast("struct<rule_seq: bigint, ttl_s: bigint>")
     ttl = F.coalesce(best["ttl_s"], F.lit(default_ttl_s).cast("bigint"))
-    kept = [c for c in samples.columns]
+    kept = [F.col(f"`{c}`") for c in samples.columns]
     return rows.select(*kept, ttl.alias("ttl_s")).withColumn(
         "expires_at", F.col("ts") + F.make_dt_interval(secs=F.col("ttl_s").cast("decimal(18,6)"))
     )

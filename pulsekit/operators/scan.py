@@ -11,18 +11,64 @@ one stream can hold a third of all data. An :class:`OrderedScan` cuts each strea
 
 The rows are shuffled once, by (stream, bucket). The summary is smaller than the data by a factor of
 about `bucket_rows`; whether it is broadcast into the join is left to Spark, which knows its size.
-Order values need not be dense: empty buckets do not exist and are skipped.
+Order values need not be dense: empty buckets do not exist and are skipped. Where they are sparse, as receive times in
+nanoseconds, blocks of equal width would hold a row each: :meth:`OrderedScan.fitted` cuts at quantiles instead, so that
+buckets hold about `bucket_rows` rows wherever the values lie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BUCKET_ROWS = 1_000_000
+# Quantiles that are asked for; between two of them buckets are of equal width.
+QUANTILES = 64
+
+
+@dataclass(frozen=True)
+class Borders:
+    """Buckets of about equal depth for whole numbers: between neighbouring `cuts` lie `parts` buckets of equal width."""
+
+    cuts: tuple[int, ...]
+    parts: int = 1
+
+    def bucket(self, at: Column) -> Column:
+        """The bucket of a value, as BIGINT that never falls as the value grows; NULL for NULL."""
+        if not self.cuts:
+            return F.when(at.isNotNull(), F.lit(0).cast("bigint"))
+
+        def below(low: int, high: int) -> Column:
+            """How many cuts are not above the value, if these are `low` to `high`: a tree of comparisons."""
+            if low == high:
+                return F.lit(low)
+            middle = (low + high) // 2
+            return F.when(at < F.lit(self.cuts[middle]), below(low, middle)).otherwise(below(middle + 1, high))
+
+        last = len(self.cuts)
+        base = [0.0, *map(float, self.cuts)]
+        scale = [0.0, *[self.parts / max(1.0, float(b) - float(a)) for a, b in zip(self.cuts, self.cuts[1:])], 0.0]
+        place = F.when(at.isNotNull(), below(0, last))
+        pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), place)
+        inside = F.floor((at.cast("double") - pick(base)) * pick(scale))
+        return place.cast("bigint") * self.parts + F.least(inside, F.lit(self.parts - 1)).cast("bigint")
+
+
+def depth_borders(df: DataFrame, columns: Sequence[str], bucket_rows: int = BUCKET_ROWS, quantiles: int = QUANTILES) -> list[Borders]:
+    """Borders for BIGINT columns from sketches of their quantiles: one aggregation that combines before its shuffle."""
+    shares = F.array(*[F.lit(i / quantiles) for i in range(quantiles + 1)])
+    found = df.agg(
+        *[F.percentile_approx(F.col(c), shares, F.lit(100 * quantiles)).alias(f"q{i}") for i, c in enumerate(columns)],
+        *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
+    ).first()
+    made = []
+    for i in range(len(columns)):
+        cuts = tuple(sorted(set(found[f"q{i}"] or ())))
+        made.append(Borders(cuts, max(1, -(-found[f"n{i}"] // (max(1, len(cuts) - 1) * bucket_rows)))))
+    return made
 
 
 @dataclass(frozen=True)
@@ -33,13 +79,23 @@ class OrderedScan:
     order: str = "arrival_seq"
     bucket_rows: int = BUCKET_ROWS
     bucket: str = "_bucket"
+    borders: Borders | None = None
+
+    def fitted(self, df: DataFrame) -> OrderedScan:
+        """The same scan with buckets of about equal depth for the order values of `df`, which are looked at for it."""
+        return replace(self, borders=depth_borders(df, [self.order], self.bucket_rows)[0])
+
+    def bucket_of(self) -> Column:
+        if self.borders is not None:
+            return self.borders.bucket(F.col(f"`{self.order}`"))
+        return F.expr(f"`{self.order}` div {self.bucket_rows}L")
 
     @property
     def keys(self) -> list[str]:
         return [*self.by, self.bucket]
 
     def bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.bucket, F.expr(f"`{self.order}` div {self.bucket_rows}L"))
+        return df.withColumn(self.bucket, self.bucket_of())
 
     def local(self) -> WindowSpec:
         """All rows of a bucket in order."""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.identity import hashable
-from pulsekit.operators.scan import BUCKET_ROWS, OrderedScan
+from pulsekit.operators.scan import BUCKET_ROWS, Borders, OrderedScan
 
 # Columns of wide rows that are not channels.
 META_COLUMNS = (
@@ -209,18 +209,23 @@ def in_order(df: DataFrame) -> DataFrame:
 
 
 def take_messages(
-    df: DataFrame, n: int | None, order: str = "arrival_seq", bucket_rows: int = BUCKET_ROWS, checked: bool = True
+    df: DataFrame,
+    n: int | None,
+    order: str = "arrival_seq",
+    bucket_rows: int = BUCKET_ROWS,
+    checked: bool = True,
+    borders: Borders | None = None,
 ) -> DataFrame:
     """the first n usable messages in arrival order; 0 or None takes all.
 
     Ties in `order`, as between streams, go by stream_id and then by a hash of the row. Counts per bucket of arrivals say
     which buckets are needed, for any n; only these are sorted, each by itself, and no task gathers n rows. With `checked`
-    off, all rows are usable, not only valid messages.
+    off, all rows are usable, not only valid messages. Sparse order values need `borders`, see `OrderedScan.fitted`.
     """
     usable = valid_messages(df) if checked and "header_hash" in df.columns else df
     if not n:
         return usable
-    bucket = F.expr(f"`{order}` div {bucket_rows}L")
+    bucket = OrderedScan((), order, bucket_rows, borders=borders).bucket_of()
     rows = usable.withColumn("_bucket", bucket)
     before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

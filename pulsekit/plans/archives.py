@@ -51,33 +51,37 @@ def a5_read_one_channel(spark, sf_dir):
 
 
 # Each channel changes its definition twice: on 11 and 21 January.
-_VERSION_SQL = "CASE WHEN recv_ts < TIMESTAMP '2024-01-11' THEN 1 WHEN recv_ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END"
-_VERSION_CELLS = ",\n       ".join(
+VERSION_SQL = "CASE WHEN recv_ts < TIMESTAMP '2024-01-11' THEN 1 WHEN recv_ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END"
+VERSION_CELLS = ",\n       ".join(
     f"max(CASE WHEN channel = '{c}' AND version = {v} THEN value END) AS \"{c}{'' if v == 3 else f'({v})'}\""
     for c in CHANNELS
     for v in (1, 2, 3)
 )
 
 
-@plan(
-    "a6_versioned",
-    f"""WITH {SAMPLES_SQL},
-versions AS (SELECT stream_id, arrival_seq, pulse_id, channel, value, {_VERSION_SQL} AS version FROM samples)
-SELECT stream_id, arrival_seq, pulse_id,
-       {_VERSION_CELLS}
-FROM versions GROUP BY stream_id, arrival_seq, pulse_id""",
-)
-def a6_versioned(spark, sf_dir):
+def typed_samples(rows):
+    """Samples whose channels have one type until 10 January, another until 20 January and a third from then on."""
     at = F.col("recv_ts")
     epoch = F.when(at < F.lit("2024-01-11").cast("timestamp_ntz"), "int64").when(
         at < F.lit("2024-01-21").cast("timestamp_ntz"), "float32"
     )
-    typed = samples(spark, sf_dir).select(
+    return rows.select(
         "stream_id", "arrival_seq", "pulse_id", "channel", "value",
         epoch.otherwise("float64").alias("type"), F.array(F.lit(1)).alias("shape"),
     )
+
+
+@plan(
+    "a6_versioned",
+    f"""WITH {SAMPLES_SQL},
+versions AS (SELECT stream_id, arrival_seq, pulse_id, channel, value, {VERSION_SQL} AS version FROM samples)
+SELECT stream_id, arrival_seq, pulse_id,
+       {VERSION_CELLS}
+FROM versions GROUP BY stream_id, arrival_seq, pulse_id""",
+)
+def a6_versioned(spark, sf_dir):
     path = scratch_dir(spark, "versioned")
-    archive.write_versioned(typed, path, mode="overwrite")
+    archive.write_versioned(typed_samples(samples(spark, sf_dir)), path, mode="overwrite")
     return spark.read.parquet(path)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,10 @@ from pyspark.sql import types as T
 from pulsekit.functions.timestamps import join_ts
 from pulsekit.functions.types import typed_value
 from pulsekit.operators.joins import lookup_join
-from pulsekit.operators.retention import purge_expired
+from pulsekit.operators.retention import apply_retention, purge_expired
 from pulsekit.operators.scan import OrderedScan
 from pulsekit.operators.select import META_COLUMNS
+from pulsekit.sources.files import exists, folders, remove, rename
 from pulsekit.sources.scratch import scratch_dir
 
 # A column may be replaced this often.
@@ -92,6 +95,59 @@ def purge_channels(
     _write_by_channel(kept.select(*stored.columns), out, mode)
 
 
+# Where a purge prepares what it changes; readers pass over names that begin like this.
+_PURGE = "_purge"
+_NO_CHANNEL = "__HIVE_DEFAULT_PARTITION__"
+
+
+def purge_archive(
+    spark: SparkSession, path: str, rules: DataFrame, now: datetime, backend: str, default_ttl_s: int | None = None
+) -> list[str | None]:
+    """C6 on a per-channel archive, in its place: only channels that hold something expired are written anew.
+
+    Which these are is asked of pulses and times alone, without a look at the data. What stays of them is written aside;
+    when that is complete it is listed, and channel after channel is swapped. A purge that is interrupted before the listing
+    has changed nothing, one interrupted later is completed by :func:`finish_purge`, which the next purge calls first. Rows
+    without a timestamp have no age and are kept. Returns the channels written anew; another writer must not be at work.
+    """
+    finish_purge(spark, path)
+    stored = read_channels(spark, path)
+    backends = {"backend": F.lit(backend), "ts": join_ts(F.col("timestamp"), F.col("timestamp_offset"))}
+    dated = apply_retention(stored.select("channel", "pulse_id", "timestamp", "timestamp_offset").withColumns(backends), rules, default_ttl_s)
+    gone = F.count_if(F.col("expires_at") <= F.lit(now))
+    bounds = dated.groupBy("channel").agg(gone.alias("gone"), (F.count("*") - gone).alias("left")).where("gone > 0")
+    affected = bounds.collect()  # a row per folder of the archive at most
+    if not affected:
+        return []
+    names = [r["channel"] for r in affected]
+    mine = F.col("channel").isin([n for n in names if n is not None])
+    rows = stored.where(mine | F.col("channel").isNull() if None in names else mine)
+    work = f"{path}/{_PURGE}/{uuid.uuid4().hex}"
+    kept = purge_expired(rows.withColumns(backends), rules, now, default_ttl_s)
+    _write_by_channel(kept.select(*stored.columns), f"{work}/kept", "error")
+    # the listing makes the purge final
+    spark.createDataFrame([(r["channel"], r["left"]) for r in affected], "channel string, left bigint").coalesce(1).write.parquet(f"{work}/affected")
+    finish_purge(spark, path)
+    return names
+
+
+def finish_purge(spark: SparkSession, path: str) -> None:
+    """Complete a purge that was interrupted: swap in what it had listed, drop what it had not come to list."""
+    for work in folders(spark, f"{path}/{_PURGE}"):
+        work = f"{path}/{_PURGE}/{work}"
+        if exists(spark, f"{work}/affected/_SUCCESS"):
+            live = {None if n == f"channel={_NO_CHANNEL}" else unquote(n.partition("=")[2]): n for n in folders(spark, path)}
+            ready = {None if n == f"channel={_NO_CHANNEL}" else unquote(n.partition("=")[2]): n for n in folders(spark, f"{work}/kept")}
+            for r in spark.read.parquet(f"{work}/affected").collect():
+                channel = r["channel"]
+                # a channel with rows left that is not ready any more has been swapped before
+                if channel in live and (channel in ready or not r["left"]):
+                    remove(spark, f"{path}/{live[channel]}")
+                if channel in ready:
+                    rename(spark, f"{work}/kept/{ready[channel]}", f"{path}/{ready[channel]}")
+        remove(spark, work)
+
+
 def align_schema(frames: Sequence[DataFrame], fill_null: int | float | None = None) -> DataFrame:
     """One table from parts that learned of their columns at different times.
 

@@ -216,6 +216,35 @@ def test_retention_against_brute_force(spark):
     assert {r.arrival_seq for r in kept.collect()} == {s[1] for s in samples if s[6] + timedelta(seconds=expected[s[1]]) > now}
 
 
+@pytest.mark.parametrize("block_rows", [1, 9])
+def test_retention_over_many_blocks(spark, block_rows):
+    """Segments that start blocks before a sample, gaps, a busy channel, samples far outside, both kinds of rules."""
+    rng = random.Random(block_rows)
+    start = datetime(2024, 1, 1)
+    raw = [(i, "x", rng.choice("aab"), lo, lo + rng.choice([0, 40, 900]), None, None, i) for i, lo in enumerate(rng.randrange(2000) for _ in range(25))]
+    at = lambda s: start + timedelta(seconds=s)
+    raw += [(100 + i, "x", "a", None, None, at(lo), at(lo + rng.choice([0, 500])), 100 + i) for i, lo in enumerate(rng.randrange(5000) for _ in range(15))]
+    rules = spark.createDataFrame(raw, retention.RULES_SCHEMA)
+    samples = [("x", rng.choice("aaab"), rng.choice([rng.randrange(2500), 10**15, None]), at(rng.randrange(6000))) for _ in range(400)]
+    df = spark.createDataFrame(samples, "backend string, channel string, pulse_id bigint, ts timestamp_ntz")
+
+    def ttl(channel, pulse, ts):
+        mine = [r for r in raw if r[2] == channel and (r[3] is None or pulse is not None and r[3] <= pulse <= r[4]) and (r[5] is None or r[5] <= ts <= r[6])]
+        return max(mine)[7] if mine else None
+
+    got = retention.apply_retention(df, rules, block_rows=block_rows)
+    want = sorted((str(p), str(t), str(ttl(c, p, t))) for _, c, p, t in samples)
+    assert sorted((str(r.pulse_id), str(r.ts), str(r.ttl_s)) for r in got.collect()) == want
+
+
+def test_retention_shuffles_samples_once_a_kind(spark):
+    df = spark.range(100).selectExpr("'x' AS backend", "'a' AS channel", "id AS pulse_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id AS payload")
+    day = timedelta(days=1)
+    rules = retention.retention_rules(spark, [(["a"], 0, 9, day), (["a"], 5, 2**40, day), (["a"], datetime(2024, 1, 1), datetime(2024, 2, 1), day)], "x")
+    plan = retention.apply_retention(df, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
 def test_retention_with_nulls_repeats_and_ties(spark):
     rules = spark.createDataFrame(
         [(1, "x", "a", 0, 9, None, None, 5), (1, "x", "a", 5, 9, None, None, 50), (3, "x", "a", 7, 7, None, None, 1), (9, "x", None, 0, 9, None, None, 99)],
@@ -276,6 +305,67 @@ def test_purge_of_an_archive(spark, tmp_path):
     assert {(r.channel, r.pulse_id) for r in kept.collect()} == expected
 
 
+def stamps(path):
+    """Each folder of an archive with the newest file in it."""
+    return {d.name: max(f.stat().st_mtime_ns for f in d.iterdir()) for d in path.iterdir() if d.name.startswith("channel=")}
+
+
+def test_purge_in_place_rewrites_what_it_must(spark, tmp_path):
+    channels = ["a", "b:1", "c", "gone", None]
+    data = [(i, c, float(i), 1000 + i, 0) for i in range(20) for c in channels] + [(99, "a", None, None, None)]
+    df = spark.createDataFrame(data, "pulse_id bigint, channel string, value double, ts_sec bigint, ts_ns bigint")
+    path = tmp_path / "archive"
+    archive.write_channels(df, str(path))
+    before = stamps(path)
+    assert len(before) == 5
+    rules = retention.retention_rules(spark, [(["a", "b:1"], 0, 9, timedelta(seconds=5)), (["gone"], 0, 99, timedelta(0))], "main")
+    now = datetime(1970, 1, 1, 0, 16, 58)  # second 1018; a pulse i dates from second 1000 + i
+    changed = archive.purge_archive(spark, str(path), rules, now, "main")
+    assert sorted(changed) == ["a", "b:1", "gone"]
+    after = stamps(path)
+    assert {n for n in before if after.get(n) != before[n]} == {"channel=a", "channel=b%3A1", "channel=gone"}
+    want = {(c, i) for c in channels for i in range(20) if c in ("c", None) or (c in ("a", "b:1") and i > 9) or (c == "gone" and i > 18)} | {("a", 99)}
+    assert {(r.channel, r.pulse_id) for r in archive.read_channels(spark, str(path)).collect()} == want
+    # nothing more to do
+    assert archive.purge_archive(spark, str(path), rules, now, "main") == [] and stamps(path) == after
+    # all of a channel expires, and those without a name by default
+    later = datetime(1970, 1, 1, 1)
+    assert sorted(archive.purge_archive(spark, str(path), rules, later, "main", 60), key=str) == sorted(["a", "b:1", "c", "gone", None], key=str)
+    assert {(r.channel, r.pulse_id) for r in archive.read_channels(spark, str(path)).collect()} == {("a", 99)}
+
+
+@pytest.mark.parametrize("broken", ["write", "swap"])
+def test_an_interrupted_purge_is_completed(spark, tmp_path, monkeypatch, broken):
+    data = [(i, c, float(i), 1000 + i, 0) for i in range(20) for c in "abc"]
+    df = spark.createDataFrame(data, "pulse_id bigint, channel string, value double, ts_sec bigint, ts_ns bigint")
+    path = str(tmp_path / "archive")
+    archive.write_channels(df, path)
+    none = spark.createDataFrame([], retention.RULES_SCHEMA)
+    now = datetime(1970, 1, 1, 0, 16, 58)
+
+    def fail(*args):
+        if broken == "write" or args[1].endswith("channel=b"):
+            raise OSError("lost")
+        return rename(*args)
+
+    rename, finish = archive.rename, archive.finish_purge
+    with monkeypatch.context() as patch:
+        if broken == "swap":
+            patch.setattr(archive, "rename", fail)
+        else:
+            patch.setattr(archive, "_write_by_channel", fail)
+        with pytest.raises(OSError):
+            archive.purge_archive(spark, path, none, now, "main", 10)
+    if broken == "write":
+        assert archive.read_channels(spark, path).count() == 60
+    finish(spark, path)
+    kept = archive.read_channels(spark, path)
+    want = {(c, i) for c in "abc" for i in range(20) if broken == "write" or i > 8}
+    assert {(r.channel, r.pulse_id) for r in kept.collect()} == want
+    archive.purge_archive(spark, path, none, now, "main", 10)
+    assert {r.pulse_id for r in archive.read_channels(spark, path).collect()} == set(range(9, 20))
+
+
 def versioned(spark, replaced_at):
     df = spark.range(100).selectExpr("'s' AS stream_id", "id AS arrival_seq", "'name' AS channel", "id AS value")
     replaced = spark.createDataFrame([("name", at) for at in replaced_at], "channel string, arrival_seq bigint")

@@ -11,7 +11,7 @@ from pulsekit.operators.catalog import completeness
 from pulsekit.operators.continuity import classify_pulses, continuity_stats, gap_report, idle_gaps
 from pulsekit.operators.epochs import format_changes, schema_epochs, tail_rows, trailing
 from pulsekit.operators.rates import rates
-from pulsekit.operators.scan import OrderedScan
+from pulsekit.operators.scan import OrderedScan, depth_borders
 from pulsekit.operators.select import every_nth, take_messages
 from pulsekit.sources.frames import assign_pulse_ids
 
@@ -235,3 +235,42 @@ def test_last_rows_in_one_pass(data):
 def test_take_messages_with_a_map_column(spark):
     df = spark.createDataFrame([(i // 2, {"k": i}) for i in range(10)], "arrival_seq long, m map<string,int>")
     assert take_messages(df, 5).count() == 5
+
+
+SPARSE = [0, 1, 2, 10**9, 10**9 + 1] + [5 * 10**17 + 10**9 * i for i in range(300)] + [2**62] * 3
+
+
+@pytest.mark.parametrize("rows_per_bucket", [1, 7, 50, 10**6])
+def test_borders_are_of_equal_depth(spark, rows_per_bucket):
+    df = spark.createDataFrame([(v,) for v in SPARSE] + [(None,)], "at long")
+    borders = depth_borders(df, ["at"], rows_per_bucket, quantiles=8)[0]
+    got = df.select("at", borders.bucket(F.col("at")).alias("b")).orderBy("at").collect()
+    assert got[0].b is None
+    known = [r.b for r in got[1:]]
+    assert known == sorted(known)
+    for r in got[1:]:
+        assert (r.at == got[1].at) or r.b is not None
+    if rows_per_bucket == 50:
+        depth = defaultdict(int)
+        for b in known:
+            depth[b] += 1
+        assert max(depth.values()) <= 80 and len(depth) >= 5
+    out = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,)], "at long").select(borders.bucket(F.col("at")).alias("b"))
+    low, high, _ = (r.b for r in out.collect())
+    assert low <= min(known) and high >= max(known)
+    none = depth_borders(df.where("false"), ["at"])[0]
+    assert df.where("at = 1").select(none.bucket(F.col("at"))).first()[0] == 0
+
+
+def test_sparse_order_values(spark):
+    """Receive times in nanoseconds as the order: buckets hold many rows each, and scans give what they gave."""
+    raw = [(s, 10**18 + 10**9 * i + (s == "b"), (i * 7) % 50) for i in range(200) for s in "ab"]
+    df = spark.createDataFrame(raw, "stream_id string, arrival_seq long, pulse_id long")
+    scan = OrderedScan(bucket_rows=20).fitted(df)
+    assert 10 <= scan.bucketed(df).select("_bucket").distinct().count() <= 80
+    assert OrderedScan(bucket_rows=20).bucketed(df).select("_bucket").distinct().count() == 200
+    whole = OrderedScan(bucket_rows=10**18)
+    for run in (lambda s: continuity_stats(df, s), lambda s: every_nth(df, 3, s)):
+        assert rows(run(scan), *run(scan).columns) == rows(run(whole), *run(scan).columns)
+    want = sorted(r[1] for r in raw)[:33]
+    assert sorted(r[1] for r in rows(take_messages(df, 33, borders=scan.borders))) == want
