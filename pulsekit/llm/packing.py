@@ -2,9 +2,11 @@
 
 Each document is tokenised, cut into pieces of which full windows stand alone, and the rest is packed in batches of
 bounded size: multiway differencing starts from one partial partition per piece and merges the two partitions with the
-largest imbalance, largest window against smallest, until one partition is left. Its windows are nearly equal; if one
-exceeds the capacity, the window count rises by one and differencing starts again. Nothing is shuffled: a batch is a run
-of pieces of one scan task, and a sequence id holds the task's number.
+largest imbalance, largest window against smallest, until one partition is left. Its windows are nearly equal. What a window
+holds beyond the capacity moves over the cut between a piece and its neighbour in the document, if that lies in a window
+with room; if a window still exceeds the capacity, the window count rises by one and differencing starts again. A batch fills
+a whole number of windows but for a little slack, and the pieces beyond wait for the next one. Nothing is shuffled: a batch
+is a run of pieces of one scan task, and a sequence id holds the task's number.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ from pyspark.sql import functions as F
 CAPACITY = 2048
 # The rest of a document is cut into equal pieces of at most this length: enough pieces per window to balance it well.
 PIECE = 256
-# Pieces packed together.
-BATCH = 2048
+# Pieces packed together, and tokens that a batch leaves free per window, so that near-equal windows fit.
+BATCH = 512
+SLACK = 4
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "sequence_tokens long"
@@ -123,12 +126,43 @@ def difference(lengths: list[int], windows: int) -> list[list[int]]:
     return made
 
 
-def windows_of(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
-    """Item numbers per window, no window above the capacity; each length is at most the capacity."""
+def _even_out(lengths: list[int], starts: list[int], joined: list[bool], windows: list[list[int]], capacity: int) -> bool:
+    """Move cuts between neighbouring pieces, in place, until no window exceeds the capacity; False if one still does.
+
+    `joined[i]` says that piece i goes on in piece i + 1. No piece becomes empty.
+    """
+    owner, sums = [0] * len(lengths), []
+    for w, window in enumerate(windows):
+        sums.append(sum(lengths[i] for i in window))
+        for i in window:
+            owner[i] = w
+    for w, window in enumerate(windows):
+        for i in window:
+            for j in (i + 1, i - 1):
+                if sums[w] <= capacity:
+                    break
+                if j < 0 or not joined[min(i, j)]:
+                    continue
+                moved = min(sums[w] - capacity, capacity - sums[owner[j]], lengths[i] - 1)
+                if moved > 0 and owner[j] != w:
+                    lengths[i] -= moved
+                    lengths[j] += moved
+                    sums[w] -= moved
+                    sums[owner[j]] += moved
+                    starts[max(i, j)] += moved if j < i else -moved
+    return max(sums, default=0) <= capacity
+
+
+def windows_of(lengths: list[int], capacity: int = CAPACITY, starts: list[int] | None = None, joined: list[bool] | None = None) -> list[list[int]]:
+    """Item numbers per window, no window above the capacity; each length is at most the capacity.
+
+    Where items are `joined` to the next one, `lengths` and `starts` may change, see :func:`_even_out`.
+    """
+    starts, joined = starts or [0] * len(lengths), joined or [False] * len(lengths)
     count = -(-sum(lengths) // capacity)
     while True:
         made = difference(lengths, count)
-        if all(sum(lengths[i] for i in window) <= capacity for window in made):
+        if _even_out(lengths, starts, joined, made, capacity):
             return made
         count += 1
 
@@ -153,15 +187,25 @@ def _pack(
     out: list[tuple] = []
     waiting: list[tuple] = []
 
-    def settle() -> None:
+    def settle(last: bool = False) -> None:
+        """Pack what waits: all of it at the end, else as many pieces as fill a whole number of windows."""
         nonlocal sequence
-        for window in windows_of([w[2] for w in waiting], capacity):
-            tokens, offset = sum(waiting[i][2] for i in window), 0
+        sizes = [w[2] for w in waiting]
+        upto = np.cumsum(sizes)
+        windows = 0 if last or not sizes else int(upto[-1]) // capacity
+        n = max(1, int(np.searchsorted(upto, windows * (capacity - SLACK), "right"))) if windows else len(sizes)
+        starts, lengths = [w[1] for w in waiting[:n]], sizes[:n]
+        joined = [a[3] is b[3] and a[1] + a[2] == b[1] for a, b in zip(waiting[:n], waiting[1:n])] + [False]
+        for window in windows_of(lengths, capacity, starts, joined):
+            tokens, offset = sum(lengths[i] for i in window), 0
             for i in window:
-                out.append((*waiting[i], sequence, offset, tokens))
-                offset += waiting[i][2]
+                (doc_id, _, _, rest, total), start, length = waiting[i], starts[i], lengths[i]
+                at = start - (total - len(rest))
+                crc = zlib.crc32(rest[at : at + length].tobytes())
+                out.append((doc_id, start, length, crc, total, sequence, offset, tokens))
+                offset += length
             sequence += 1
-        waiting.clear()
+        del waiting[:n]
 
     def emit() -> pa.RecordBatch:
         columns = [pa.array(c, pa.int64()) for c in zip(*out)]
@@ -171,18 +215,19 @@ def _pack(
     for rows in batches:
         for doc_id, text in zip(rows.column(0), rows.column(1)):
             ids = np.array([*encode(text.as_py() or ""), _END], "<u4")
+            rest = ids[len(ids) // capacity * capacity :].copy()  # what of a document may have to wait
             for start, length in cuts(len(ids), capacity, piece):
-                row = (doc_id.as_py(), start, length, zlib.crc32(ids[start : start + length].tobytes()), len(ids))
                 if length == capacity:
-                    out.append((*row, sequence, 0, capacity))
+                    crc = zlib.crc32(ids[start : start + length].tobytes())
+                    out.append((doc_id.as_py(), start, length, crc, len(ids), sequence, 0, capacity))
                     sequence += 1
                 else:
-                    waiting.append(row)
+                    waiting.append((doc_id.as_py(), start, length, rest, len(ids)))
             if len(waiting) >= batch:
                 settle()
             if len(out) >= 50_000:
                 yield emit()
-    settle()
+    settle(last=True)
     if out:
         yield emit()
 
