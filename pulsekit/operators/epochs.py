@@ -24,12 +24,12 @@ def format_changes(messages: DataFrame, scan: OrderedScan = OrderedScan()) -> Da
 def schema_epochs(messages: DataFrame, scan: OrderedScan = OrderedScan()) -> DataFrame:
     """Each message with `format_changed` and `epoch`, which counts the changes so far.
 
-    One pass: a bucket's own changes are counted inside it, and whether its first message differs from
-    the message before it is settled on the summary.
+    One scan and one shuffle of the messages: a bucket's own changes are counted inside it, and whether its first message
+    differs from the message before it is settled on the summary.
     """
     local = scan.local()
     rows = (
-        scan.bucketed(messages)
+        scan.gathered(messages)
         .withColumn("_previous_hash", F.lag("header_hash").over(local))
         .withColumn("_first", F.row_number().over(local) == 1)
     )
@@ -41,7 +41,7 @@ def schema_epochs(messages: DataFrame, scan: OrderedScan = OrderedScan()) -> Dat
         F.sum("_inner").alias("_changes"),
         F.max(F.when(F.col("_first"), F.col("header_hash"))).alias("_first_hash"),
         F.max(F.when(F.col("_first"), with_channels)).alias("_first_counts"),
-        F.max_by("header_hash", scan.order).alias("_last_hash"),
+        scan.last_row(messages)["header_hash"].alias("_last_hash"),
     )
     border = F.lag("_last_hash").over(scan.across())
     at_border = F.col("_first_counts") & ~border.eqNullSafe(F.col("_first_hash"))
@@ -53,7 +53,7 @@ def schema_epochs(messages: DataFrame, scan: OrderedScan = OrderedScan()) -> Dat
     running = F.sum("_inner").over(scan.local_until())
     changed = F.when(F.col("_first"), F.col("_at_border") == 1).otherwise(F.col("_inner") == 1)
     return (
-        rows.join(given, scan.keys, "left")
+        scan.attached(rows, given)
         .withColumn("epoch", (F.col("_base") + running).cast("bigint"))
         .withColumn("format_changed", changed)
         .drop("_first", "_inner", "_at_border", "_base", scan.bucket)

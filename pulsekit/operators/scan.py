@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -97,6 +98,21 @@ class OrderedScan:
     def bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.bucket, self.bucket_of())
 
+    def gathered(self, df: DataFrame) -> DataFrame:
+        """Bucketed rows, brought together by stream and bucket once: what is asked of them bucket by bucket needs no other
+        shuffle. Two branches share that one, and the scan below it, if both keep all columns: see :meth:`last_row`."""
+        return self.bucketed(df).repartition(*self.keys)
+
+    def last_row(self, df: DataFrame) -> Column:
+        """The last row of a bucket as an aggregate: a struct of all columns, so that a summary prunes none of them."""
+        return F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.col(self.order))
+
+    def attached(self, rows: DataFrame, given: DataFrame) -> DataFrame:
+        """`rows` with what `given` says of their bucket; a NULL stream is a stream like any other."""
+        theirs = {k: f"_of_{k}" for k in self.keys}
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(other)) for k, other in theirs.items()])
+        return rows.join(given.withColumnsRenamed(theirs), same, "left").drop(*theirs.values())
+
     def local(self) -> WindowSpec:
         """All rows of a bucket in order."""
         return Window.partitionBy(*self.keys).orderBy(self.order)
@@ -127,7 +143,7 @@ class OrderedScan:
         """
         per_bucket = bucketed.groupBy(*self.keys).agg(*[c.alias(n) for n, c in summary.items()])
         given = per_bucket.select(*self.keys, *[c.alias(n) for n, c in carry(per_bucket).items()])
-        return bucketed.join(given, self.keys, "left")
+        return self.attached(bucketed, given)
 
     # ---- the scans the operators are made of ----
 
@@ -195,24 +211,21 @@ class OrderedScan:
         """Bucketed rows plus, in each bucket, copies of the `n` rows before it, flagged as halo.
 
         The copies carry `columns` and the keys only, everything else is NULL. They come from as many
-        earlier buckets as it takes, so sparse buckets are no problem. Drop the flagged rows after use.
+        earlier buckets as it takes. Counts per bucket say which later buckets the end of a bucket reaches, so a
+        copy is made for these alone: at most `n` a bucket, whatever `n` is. Drop the flagged rows after use.
         """
         bucketed = self.bucketed(df)
         kept = list(dict.fromkeys([*self.keys, self.order, *columns]))
+        upto = F.sum("_n").over(self.across().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        counts = bucketed.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n"))
+        counts = counts.select(*self.keys, upto.alias("_end"), F.lead(self.bucket).over(self.across()).alias("_next"))
+        # the buckets behind this one and behind those that end within n rows of it, with the rows in between
+        near = Window.partitionBy(*self.by).orderBy("_end").rangeBetween(0, max(0, n - 1))
+        follow = F.collect_list(F.struct("_next", "_end")).over(near)
+        reach = counts.select(*self.keys, F.col("_end").alias("_mine"), follow.alias("_follow"))
         newest_first = Window.partitionBy(*self.keys).orderBy(F.desc(self.order))
-        ends = (
-            bucketed.select(*kept)
-            .withColumn("_rank", F.row_number().over(newest_first))
-            .where(F.col("_rank") <= n)
-            .groupBy(*self.keys)
-            .agg(F.sort_array(F.collect_list(F.struct(self.order, *[c for c in columns if c != self.order]))).alias("_end"))
-        )
-        # Every bucket has a row at least, so n buckets back hold n rows.
-        recent = self.across().rowsBetween(-n, -1)
-        before = F.flatten(F.collect_list("_end").over(recent))
-        halo = (
-            ends.select(*self.keys, before.alias("_before"))
-            .select(*self.keys, F.explode(F.slice("_before", F.greatest(F.size("_before") - n + 1, F.lit(1)), n)).alias("_row"))
-            .select(*self.keys, "_row.*", F.lit(True).alias(flag))
-        )
+        ends = bucketed.select(*kept).withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") <= n)
+        halo = ends.join(reach, self.keys).select(*kept, "_rank", "_mine", F.explode("_follow").alias("_to"))
+        halo = halo.where((F.col("_to._end") - F.col("_mine") + F.col("_rank") <= n) & F.col("_to._next").isNotNull())
+        halo = halo.withColumn(self.bucket, F.col("_to._next")).select(*kept, F.lit(True).alias(flag))
         return bucketed.withColumn(flag, F.lit(False)).unionByName(halo, allowMissingColumns=True)

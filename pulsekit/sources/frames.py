@@ -624,6 +624,6 @@ def assign_pulse_ids(
     given_start = per_bucket.select(
         *scan.keys, (F.coalesce(carried, F.lit(start).cast("bigint")) + F.col("_rows_before")).alias("_carry")
     )
-    numbered = rows.join(given_start, scan.keys, "left")
+    numbered = scan.attached(rows, given_start)
     pulse = F.coalesce("_base", "_carry") + F.col("_row")
     return numbered.withColumn(out, pulse).drop("_given", "_row", "_base", "_carry", scan.bucket)

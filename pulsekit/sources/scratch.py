@@ -16,6 +16,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/pulsekit-{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":  # executors of a local cluster are processes of their own
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"pulsekit-{name}-")

@@ -274,3 +274,42 @@ def test_sparse_order_values(spark):
         assert rows(run(scan), *run(scan).columns) == rows(run(whole), *run(scan).columns)
     want = sorted(r[1] for r in raw)[:33]
     assert sorted(r[1] for r in rows(take_messages(df, 33, borders=scan.borders))) == want
+
+
+@pytest.mark.parametrize("n", [1, 2, 40, 250])
+def test_trailing_far_back(spark, n):
+    """Sparse and full buckets, windows that span none, some or very many of them."""
+    rng = random.Random(n)
+    seqs = sorted(rng.sample(range(10**6), 60)) + list(range(10**6, 10**6 + 150))
+    raw = [(rng.choice("aab"), seq, seq * 3 % 101) for seq in seqs]
+    df = spark.createDataFrame(raw, "stream_id string, arrival_seq long, v long")
+    want = {}
+    for stream in "ab":
+        values = [(seq, v) for s, seq, v in raw if s == stream]
+        want |= {seq: [v for _, v in values[max(0, i + 1 - n) : i + 1]] for i, (seq, _) in enumerate(values)}
+    for bucket in (10, 5000):
+        got = trailing(df, "v", n, OrderedScan(bucket_rows=bucket))
+        assert {r.arrival_seq: r.trail for r in got.collect()} == want
+
+
+def test_halo_of_a_hundred_thousand_rows(spark):
+    """Copies are made for the buckets that are reached: n of each bucket, not n of each of n buckets."""
+    df = spark.range(0, 400_000, 1, 8).selectExpr("'s' AS stream_id", "id AS arrival_seq", "id AS v")
+    rows_ = OrderedScan(bucket_rows=50_000).with_halo(df, ["v"], 100_000)
+    found = {r["_bucket"]: (r.n, r.low) for r in rows_.where("_halo").groupBy("_bucket").agg(F.count("*").alias("n"), F.min("v").alias("low")).collect()}
+    assert found == {b: (min(2, b) * 50_000, max(0, b - 2) * 50_000) for b in range(1, 8)}
+
+
+def test_epochs_scan_and_shuffle_the_messages_once(spark, tmp_path):
+    spark.range(200).selectExpr("'s' AS stream_id", "id AS arrival_seq", "CAST(id div 30 AS STRING) AS header_hash", "id AS more").write.parquet(str(tmp_path / "m"))
+    df = schema_epochs(spark.read.parquet(str(tmp_path / "m")), OrderedScan(bucket_rows=25))
+    assert {r.epoch for r in df.collect()} == set(range(1, 8))
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") == 1
+    assert plan.count("Exchange hashpartitioning(stream_id") - plan.count("ReusedExchange") <= 2
+
+
+def test_a_null_stream_is_a_stream(spark):
+    df = spark.createDataFrame([(None, i, i) for i in range(20)], "stream_id string, arrival_seq long, pulse_id long")
+    got = sorted((r.arrival_seq, r.idx) for r in every_nth(df, 1, OrderedScan(bucket_rows=3)).collect())
+    assert got == [(i, i) for i in range(20)]
