@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import free_name, text_bytes
+from pulsekit.llm.common import free_name, settled, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -181,8 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     """
     chosen = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("good"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    # at most max_labelled rows of two numbers
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "good", rule_statistics().alias("s"))
+    # At most max_labelled rows of two numbers. What they choose is written: a condition on statistics would otherwise be
+    # drawn below the join, and the statistics of all documents with it.
+    mine = settled(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
+    rows = mine.select("doc_id", "good", rule_statistics().alias("s"))
     rows = rows.where(~base_failed()).groupBy("doc_id").agg(F.min(F.struct("good", "s")).alias("r"))
     sample = rows.select("doc_id", "r.good", *[f"r.s.{c}_share" for c in _SHARES]).orderBy("doc_id").toPandas()
     if not len(sample):
