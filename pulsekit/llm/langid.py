@@ -174,7 +174,8 @@ def sample(docs: DataFrame, max_training: int = MAX_TRAINING, least: int = LEAST
     limits = docs.sparkSession.createDataFrame(limits, "lang string, quota long, below long")
     at = F.pmod("h", F.lit(1 << 31))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(at, "h"))
-    drawn = keys.join(limits, "lang").where(at < F.col("below")).withColumn("rank", rank).where("rank <= quota")
+    # a row per language, as few as the model has columns; without the hint Spark takes a listed table for a large one
+    drawn = keys.join(F.broadcast(limits), "lang").where(at < F.col("below")).withColumn("rank", rank).where("rank <= quota")
     drawn = settled(drawn.select("lang", "h", (F.col("rank") % 10 == 0).alias("held")), "langid-drawn")
     rows = lettered.join(drawn, ["lang", "h"]).dropDuplicates(["lang", "h"])
     return sorted(counts), rows.select("text", "lang", "h", "held")
