@@ -114,16 +114,20 @@ def _linear(hits: list[np.ndarray], y: np.ndarray, size: int, rounds: int = 1500
     return w, float(b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_lexicon: int = MAX_LEXICON) -> Model:
     """Learn from at most `max_labelled` labelled documents (by hash of doc_id); labels other than 0 and 1 are ignored.
 
+    The `max_lexicon` entries that speak most clearly become voters. Of copies of a text the smallest doc_id's label counts.
+
     Without toxic or without other rows every document scores the same: the share of toxic rows, or 0.
     """
     chosen = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("y"))
     chosen = F.broadcast(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))  # two numbers a row
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").where("text IS NOT NULL")
-    # copies of a text would pass their own words off as a lexicon
-    rows = settled(rows.dropDuplicates(["text"]).dropDuplicates(["doc_id"]), "labelled").repartition("doc_id")
+    # copies of a text would pass their own words off as a lexicon: the row of the smallest doc_id stands for them
+    rows = rows.groupBy("text").agg(F.min(F.struct("doc_id", "y")).alias("r")).select("text", "r.*")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("r")).select("doc_id", "r.*")
+    rows = settled(rows, "labelled").repartition("doc_id")
 
     def found(texts: pa.Array) -> pa.Array:
         return pa.array([sorted(tokens(t.as_py())) for t in texts], pa.list_(pa.string()))
@@ -137,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     counts = each.groupBy("token").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).where(F.col("t") >= least)
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (n - toxic + 1))
     entries = counts.withColumn("odds", odds).where("odds > 2.5").orderBy((F.col("odds") * F.sqrt("t")).desc(), "token")
-    lexicon = [r.token for r in entries.limit(MAX_LEXICON).select("token").collect()]
+    lexicon = [r.token for r in entries.limit(max_lexicon).select("token").collect()]
     place = {t: i for i, t in enumerate(lexicon)}
 
     def hits(texts: pa.Array) -> pa.Array:

@@ -18,7 +18,7 @@ from pulsekit.llm.common import free_name, settled
 
 BITS_PER_KEY = 10
 HASHES = 7
-# Words of 64 bits one level may have; more keys need a list split by hash into several cascades.
+# Words of 64 bits one level may have; a longer list is split by hash of the key into several cascades.
 MAX_WORDS = 1 << 20
 MAX_LEVELS = 40
 
@@ -85,11 +85,17 @@ def _bits(key: Column, level: int, words: int) -> list[Column]:
     return [F.pmod(F.pmod(a, n) + step * k, n) for k in range(HASHES)]
 
 
+def _words(count: int) -> int:
+    return max(1, -(-count * BITS_PER_KEY // 64))
+
+
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
+
+
 def _level(keys: DataFrame, number: int, count: int) -> Level:
-    """Bits of `keys` (column key), gathered as one array of 64-bit words: its size is checked before."""
-    size = max(1, -(-count * BITS_PER_KEY // 64))
-    if size > MAX_WORDS:
-        raise ValueError(f"{count} keys need more than {MAX_WORDS} words; split the list by hash of the key")
+    """Bits of `keys` (column key), gathered as one array of 64-bit words."""
+    size = _words(count)
     bits = keys.select(F.explode(F.array(*_bits(F.col("key"), number, size))).alias("bit"))
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))
     words = bits.groupBy(_right(F.col("bit"), F.lit(6)).alias("word")).agg(F.bit_or(one).alias("bits"))
@@ -99,32 +105,50 @@ def _level(keys: DataFrame, number: int, count: int) -> Level:
 
 @dataclass
 class Cascade:
-    levels: list[Level]
+    """Levels for each part of the keys; the plan holds all of them, so it grows with the list, ten bits a key."""
+
+    parts: list[list[Level]]
 
     def listed(self, key: Column) -> Column:
         """Is a key of the universe listed? NULL keys are not."""
-        answer = F.lit(len(self.levels) % 2 == 1)
-        for number in range(len(self.levels) - 1, -1, -1):
-            # not held by an even level: not listed; not held by an odd one: listed
-            answer = F.when(self.levels[number].holds(key, number), answer).otherwise(F.lit(number % 2 == 1))
+        answer = F.lit(False)
+        for n, levels in enumerate(self.parts):
+            here = F.lit(len(levels) % 2 == 1)
+            for number in range(len(levels) - 1, -1, -1):
+                # not held by an even level: not listed; not held by an odd one: listed
+                here = F.when(levels[number].holds(key, number), here).otherwise(F.lit(number % 2 == 1))
+            answer = here if len(self.parts) == 1 else F.when(_part(key, len(self.parts)) == n, here).otherwise(answer)
         return answer & key.isNotNull()
 
 
-def build(universe: DataFrame) -> Cascade:
+def build(universe: DataFrame, max_words: int = MAX_WORDS) -> Cascade:
     """From the whole universe of keys: rows (key, listed). Repeated keys count once and are listed if any row says so;
-    NULL keys are left out. An empty universe, or one without listed keys, gives a cascade that lists nothing."""
+    NULL keys are left out. An empty universe, or one without listed keys, gives a cascade that lists nothing. A list whose
+    first level would take more than `max_words` is split by hash, and every part gets a cascade of its own."""
     keys = universe.where("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed"))
     keys = settled(keys, "keys")
+    count = keys.where("listed").count()
+    parts = max(1, -(-_words(count) // max_words))
+    if parts == 1:
+        return Cascade([_levels(keys, count)])
+    made = []
+    for n in range(parts):
+        mine = keys.where(_part(F.col("key"), parts) == n)
+        made.append(_levels(mine, mine.where("listed").count()))
+    return Cascade(made)
+
+
+def _levels(keys: DataFrame, count: int) -> list[Level]:
     levels: list[Level] = []
     # `inside`: keys the next level must hold; `outside`: keys it should not hold
     inside, outside = keys.where("listed"), keys.where("NOT listed")
     for number in range(MAX_LEVELS):
-        count = inside.count()
         if not count:
-            return Cascade(levels)
+            return levels
         levels.append(_level(inside, number, count))
         wrong = settled(outside.where(levels[-1].holds(F.col("key"), number)), "mistaken")
         inside, outside = wrong, inside
+        count = inside.count()
     raise RuntimeError("the cascade did not end")
 
 
@@ -132,7 +156,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], cascade: Casc
     """`pages` with a struct column `judged` (a free name): host, path, rule and verdict (allow or block).
 
     The longest fitting rule decides; without one a page is blocked if the cascade lists its host. A NULL url, or one
-    without `://`, has empty host and path, fits no rule and is looked up like any other.
+    without `://`, has empty host and path, fits no rule and is looked up like any other. Rules of equal length are settled by
+    the longer host, then by text. Repeated rows are judged each, and a url counts whole, however long.
     """
     url, name = F.col("url"), free_name(pages, "judged")
     parts = pages.withColumn(name, F.struct(host(url).alias("host"), path(url).alias("path")))

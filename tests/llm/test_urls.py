@@ -25,20 +25,32 @@ def test_cascade_is_exact(spark, share):
     assert keys.where(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
     assert spark.range(1).select(cascade.listed(F.lit(None).cast("string")).alias("x")).first().x is False
     if 0 < share < 100:
-        assert len(cascade.levels) > 1
+        assert len(cascade.parts[0]) > 1
 
 
 def test_small_filters_need_more_levels(spark, monkeypatch):
     monkeypatch.setattr(urls, "BITS_PER_KEY", 2)
     keys = spark.range(2000).select(F.col("id").cast("string").alias("key"), (F.col("id") % 3 == 0).alias("listed"))
     cascade = urls.build(keys)
-    assert len(cascade.levels) > 3 and keys.where(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
+    assert len(cascade.parts[0]) > 3 and keys.where(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
 
 
-def test_too_many_keys_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(urls, "MAX_WORDS", 4)
-    with pytest.raises(ValueError):
-        urls.build(spark.range(200).select(F.col("id").cast("string").alias("key"), F.lit(True).alias("listed")))
+def test_a_long_list_is_split(spark):
+    """Beyond the words one filter may have, parts of the keys get filters of their own, as exact as one."""
+    keys = spark.range(3000).select(F.concat(F.lit("h"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
+    cascade = urls.build(keys, max_words=16)
+    assert len(cascade.parts) == 5 and all(len(level.words) <= 24 for levels in cascade.parts for level in levels)
+    assert keys.where(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
+
+
+def test_long_urls_and_odd_columns(spark):
+    long = "https://" + "a" * 200_000 + ".example.com/en/" + "b" * 200_000
+    rows = [(1, long, "x"), (1, long, "x"), (2, None, None), (None, "", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, `judged` string")
+    got = urls.judge(pages, RULES, urls.build(spark.createDataFrame([], "key string, listed boolean"))).select("page_id", "judged_.*").collect()
+    assert sorted((str(r.page_id), len(r.host), len(r.path), r.rule, r.verdict) for r in got) == sorted(
+        [("1", 200_012, 200_004, "example.com/en/", "block")] * 2 + [("2", 0, 0, None, "allow"), ("None", 0, 0, None, "allow")], key=str
+    )
 
 
 def test_judge(spark):
@@ -63,6 +75,6 @@ def test_judge(spark):
 def test_empty_tables_and_no_rules(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     cascade = urls.build(spark.createDataFrame([], "key string, listed boolean"))
-    assert cascade.levels == [] and urls.judge(none, RULES, cascade).count() == 0
+    assert cascade.parts == [[]] and urls.judge(none, RULES, cascade).count() == 0
     one = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     assert urls.judge(one, [], cascade).first().judged == ("a.com", "/", None, "allow")
