@@ -279,11 +279,12 @@ def keep_one(docs: DataFrame, distance: int = 4, width: int = 4, cell_rows: int
     Columns are those of `docs`. Of repeated rows one stays. A row with a NULL doc_id stays only where its component has
     no other.
     """
-    fp, tag = free_name(docs, "fp"), free_name(docs, "row_tag")
-    keyed = docs.withColumn(fp, fingerprint("text", width)).withColumn(tag, row_tag(docs))
-    marked = settled(keyed.select("doc_id", F.col(fp).alias("fp"), F.col(tag).alias("tag")), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag", "fp")
+    tag = free_name(docs, "row_tag")
+    keyed = docs.withColumn(tag, row_tag(docs))
+    marked = settled(keyed.select("doc_id", fingerprint("text", width).alias("fp"), F.col(tag).alias("tag")), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag")
     winner = _classes(marked, distance, cell_rows).groupBy("label").agg(F.min(order).alias("w"))
-    winner = settled(winner.select(F.col("w.tag").alias(tag), F.col("w.fp").alias(fp)), "winners")
+    winner = settled(winner.select(F.col("w.tag").alias(tag)), "winners")
     # the row tag holds the doc_id, so the copies of a text are spread here; repeated rows meet, and one stays
-    return keyed.join(winner, [tag, fp], "left_semi").dropDuplicates([tag, fp]).select(*docs.columns)
+    rows = keyed.join(winner, tag, "left_semi").dropDuplicates([tag])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
