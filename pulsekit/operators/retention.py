@@ -81,6 +81,10 @@ def _segments(rules: DataFrame) -> DataFrame:
     in_order = Window.partitionBy(*_KEYS).orderBy("at")
     bounds = bounds.withColumn("rank", F.row_number().over(in_order) - 1).withColumn("next", F.lead("at").over(in_order))
     bounds = bounds.withColumn("of", F.count("*").over(Window.partitionBy(*_KEYS)))
+    # read three times below: for both ends of the rules and for the stretches between bounds
+    path = scratch_dir(rules.sparkSession, "bounds")
+    bounds.write.parquet(path)
+    bounds = rules.sparkSession.read.schema(bounds.schema).parquet(path)
     rank = lambda bound: bounds.select(*_KEYS, F.col("at").alias(bound), F.col("rank").cast("bigint").alias(f"_{bound}"))
     ranked = ranges.join(rank("lo"), [*_KEYS, "lo"]).join(rank("end"), [*_KEYS, "end"])
     up = lambda c, level: F.expr(f"-(-{c} >> (2 * ({level})))")  # noqa: E731  rounded up
