@@ -211,12 +211,18 @@ def stream_align(
     )
 
 
+# Neighbouring pulses that share a state, about, and the groups a stretch of pulses is dealt to.
+_TOGETHER, _LANES = 128, 64
+
+
 def stream_align_complete(
     samples: DataFrame, channels: Sequence[str], tolerance: str, event_time: str = "event_time"
 ) -> DataFrame:
     """One row per pulse, sent as soon as all channels are there, at the latest `tolerance` after its first sample.
 
-    State is kept per pulse until the watermark passes it, which keeps a finished pulse from opening again.
+    A pulse is kept until the watermark passes it, so that it does not open again once it is finished. To call Python once
+    for many pulses, a stretch of them is dealt to groups by hash, and a group holds its pulses in one state: as many
+    groups work on the newest pulses at a time, and a state never holds more than its stretch.
     Values travel through the state as JSON and come out with the type of the `value` column.
     """
     names = list(channels)
@@ -227,6 +233,8 @@ def stream_align_complete(
         samples.where(F.col("channel").isin(names))
         .withWatermark(event_time, tolerance)
         .select(
+            F.expr(f"pulse_id div {_TOGETHER * _LANES}L").alias("_stretch"),
+            F.when(F.col("pulse_id").isNotNull(), F.pmod(F.xxhash64("pulse_id"), F.lit(_LANES))).alias("_lane"),
             "pulse_id",
             "channel",
             "arrival_seq",
@@ -237,38 +245,50 @@ def stream_align_complete(
     )
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else {"sent": False, "at": None, "seen": {}}
-        if state.hasTimedOut:
-            state.remove()
-            if not held["sent"]:
-                yield _pulse(key[0], held["seen"], names)
-            return
-        for rows in frames:
-            for channel, seq, value, at in zip(rows["channel"], rows["arrival_seq"], rows["v"], rows["at_ms"]):
+        # per pulse: its first time, the time it is kept until, whether it was sent, the newest sample of each channel
+        held = {p: pulse for p, *pulse in json.loads(state.get[0])} if state.exists else {}
+        now, touched, out = state.getCurrentWatermarkMs(), set(), []
+        for rows in () if state.hasTimedOut else frames:
+            pulses = [None] * len(rows) if pd.isna(key[0]) else rows["pulse_id"].tolist()  # NULL is a group of its own
+            columns = (rows[c].tolist() for c in ("channel", "arrival_seq", "v", "at_ms"))
+            for p, channel, seq, value, at in zip(pulses, *columns):
                 if at >= end_ms:  # the closing event of the run is no sample
                     continue
-                known = held["seen"].get(channel)
+                touched.add(p)
+                pulse = held.setdefault(p, [int(at), 0, False, {}])
+                pulse[0] = min(pulse[0], int(at))
+                known = pulse[3].get(channel)
                 if known is None or known[0] < seq:
-                    held["seen"][channel] = (int(seq), value)
-                held["at"] = int(at) if held["at"] is None else min(held["at"], int(at))
-        if held["at"] is None:
-            return
-        if not held["sent"] and len(held["seen"]) == len(names):
-            yield _pulse(key[0], held["seen"], names)
-            held["sent"] = True
-            held["seen"] = {}
-        state.update((json.dumps(held),))
-        state.setTimeoutTimestamp(max(held["at"] + wait_ms, state.getCurrentWatermarkMs() + 1))
-
-    rows = slim.groupBy("pulse_id").applyInPandasWithState(
+                    pulse[3][channel] = (int(seq), value)
+        for p in touched:
+            pulse = held[p]
+            pulse[1] = max(pulse[0] + wait_ms, now + 1)
+            if not pulse[2] and len(pulse[3]) == len(names):
+                out.append((p, _cells(pulse[3], names)))
+                pulse[2] = True
+            if pulse[2]:
+                pulse[3] = {}
+        for p in [p for p, pulse in held.items() if pulse[1] < now and p not in touched]:
+            _, _, sent, seen = held.pop(p)
+            if not sent:
+                out.append((p, _cells(seen, names)))
+        if held:
+            state.update((json.dumps([(p, *pulse) for p, pulse in held.items()]),))
+            state.setTimeoutTimestamp(max(min(pulse[1] for pulse in held.values()), now))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["pulse_id", "cells"])
+
+    rows = slim.groupBy("_stretch", "_lane").applyInPandasWithState(
         step, "pulse_id bigint, cells array<string>", "held string", "append", GroupStateTimeout.EventTimeTimeout
     )
     typed = lambda i: F.from_json(F.get("cells", F.lit(i)), f"v {value_type}")["v"]
     return rows.select("pulse_id", *[typed(i).alias(name) for i, name in enumerate(names)])
 
 
-def _pulse(pulse_id: int, seen: dict, names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"pulse_id": [pulse_id], "cells": [[seen[n][1] if n in seen else None for n in names]]})
+def _cells(seen: dict, names: list[str]) -> list[str | None]:
+    return [seen[n][1] if n in seen else None for n in names]
 
 
 def _milliseconds(spark: SparkSession, interval: str) -> int:

@@ -232,6 +232,26 @@ def test_alignment_to_the_end(spark, tmp_path, kind, one_partition):
             assert rows(got, "pulse_id") == rows(want, "pulse_id")
 
 
+def test_complete_alignment_holds_many_pulses_in_one_state(spark, tmp_path):
+    sent = spark.range(6000).select((F.col("id") * 7 % 6000).alias("arrival_seq"))
+    pulse, at = F.expr("arrival_seq div 3L"), F.lit(START) + F.expr("make_dt_interval(0, 0, 0, arrival_seq / 300)")
+    sent = sent.withColumn("pulse_id", F.when(pulse != 77, pulse)).withColumn("event_time", at)
+    sent = sent.withColumn("channel", F.substring(F.lit("pqr"), (F.col("arrival_seq") % 3 + 1).cast("int"), F.lit(1)))
+    sent = sent.withColumn("value", F.col("arrival_seq") * 0.5).where("pulse_id IS NULL OR pulse_id % 5 > 0 OR channel < 'r'").cache()
+    feed(sent, tmp_path / "in", 3)
+    ends, out, check = (str(tmp_path / k) for k in ("ends", "out", "check"))
+    source = streams.with_end(stream(spark, tmp_path / "in", sent.schema), ends, channel="p")
+    live = streams.stream_align_complete(source, list("pqr"), "1 hour")
+    query = live.writeStream.trigger(availableNow=True).option("checkpointLocation", check).format("parquet").start(out)
+    query.awaitTermination()
+    assert 0 < query.lastProgress.stateOperators[0].numRowsTotal < 200  # of 2,000 pulses
+    got = spark.read.parquet(out)
+    assert got.count() == 1600 and got.where("p IS NULL OR q IS NULL OR r IS NULL").isEmpty()  # full ones do not wait
+    assert streams.run_to_end(live, out, check, ends)
+    cell = lambda c: F.max(F.when(F.col("channel") == c, F.col("value"))).alias(c)
+    assert rows(spark.read.parquet(out), "pulse_id", *"pqr") == rows(sent.groupBy("pulse_id").agg(*map(cell, "pqr")))
+
+
 def test_bounded_run_over_restarts(spark, messages, tmp_path):
     feed(messages, tmp_path / "in", 6)
     source = stream(spark, tmp_path / "in", messages.schema)
