@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.timestamps import epoch_micros, join_ts
-from pulsekit.operators.scan import BUCKET_ROWS, Borders, depth_borders
+from pulsekit.operators.scan import BUCKET_ROWS, Borders, OrderedScan, dealt, depth_borders
 from pulsekit.sources.scratch import scratch_dir
 
 RULES_SCHEMA = (
@@ -69,27 +69,59 @@ def _ranges(rules: DataFrame) -> DataFrame:
     return ranges.select("rule_seq", "backend", "channel", "ttl_s", "_entry.axis", "_entry.lo", end.alias("end")).where("lo < end")
 
 
-def _segments(rules: DataFrame) -> DataFrame:
+def _kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`df` filed once, and its number of rows."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    return df, df.count()
+
+
+def _bounds(ranges: DataFrame, bucket_rows: int) -> DataFrame:
+    """The distinct bounds `at` of each axis, backend and channel, with their rank and the `next` one.
+
+    They are ranked by buckets, each with what comes before it: a channel may have most of the rules.
+    """
+    bounds = ranges.select(*_KEYS, F.explode(F.array("lo", "end")).alias("at"))
+    borders = depth_borders(bounds, ["at"], bucket_rows)[0]
+    scan = OrderedScan(tuple(_KEYS), "at", borders=borders)
+    bounds = dealt(scan.bucketed(bounds), borders.rows, *scan.keys).distinct()
+    given = bounds.groupBy(*scan.keys).agg(F.count(F.lit(1)).alias("_n"), F.min("at").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(scan.across_before()), F.lit(0).cast("bigint"))
+    given = given.select(*scan.keys, before.alias("_before"), F.lead("_first").over(scan.across()).alias("_follow"))
+    bounds = bounds.join(given, scan.keys)
+    rank = F.col("_before") + F.row_number().over(scan.local()) - 1
+    after = F.coalesce(F.lead("at").over(scan.local()), "_follow")
+    return bounds.select(*_KEYS, "at", rank.alias("rank"), after.alias("next"))
+
+
+def _segments(rules: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Disjoint ranges [lo, hi] per axis, backend and channel, each with the newest rule that covers it.
 
     The bounds of a channel's rules are ranked. A rule is cut into the few aligned blocks of ranks that make it up, of each
     block only its newest rule is kept, and the stretch between two bounds takes the newest rule of the blocks around it.
-    Only rules are shuffled here; of rules with the same number the longer ttl counts.
+    Only rules are shuffled here, over as many tasks as they need; of rules with the same number the longer ttl counts.
     """
-    ranges = _ranges(rules)
-    bounds = ranges.select(*_KEYS, F.explode(F.array("lo", "end")).alias("at")).distinct()
-    in_order = Window.partitionBy(*_KEYS).orderBy("at")
-    bounds = bounds.withColumn("rank", F.row_number().over(in_order) - 1).withColumn("next", F.lead("at").over(in_order))
-    bounds = bounds.withColumn("of", F.count("*").over(Window.partitionBy(*_KEYS)))
+    # of rules for the same range only the newest can win, and NULL names meet no sample
+    named = _ranges(rules).where("backend IS NOT NULL AND channel IS NOT NULL")
+    ranges = named.groupBy(*_KEYS, "lo", "end").agg(F.max(F.struct("rule_seq", "ttl_s")).alias("rule"))
+    ranges, _ = _kept(ranges, "ranges")
     # read three times below: for both ends of the rules and for the stretches between bounds
-    path = scratch_dir(rules.sparkSession, "bounds")
-    bounds.write.parquet(path)
-    bounds = rules.sparkSession.read.schema(bounds.schema).parquet(path)
-    rank = lambda bound: bounds.select(*_KEYS, F.col("at").alias(bound), F.col("rank").cast("bigint").alias(f"_{bound}"))
-    ranked = ranges.join(rank("lo"), [*_KEYS, "lo"]).join(rank("end"), [*_KEYS, "end"])
+    bounds, n = _kept(_bounds(ranges, bucket_rows), "bounds")
+    rank = lambda bound: bounds.select(*_KEYS, F.col("at").alias(bound), F.col("rank").alias(f"_{bound}"))
+    at = lambda df, bound: dealt(df, n, *_KEYS, bound)
+    ranked = at(at(ranges, "lo").join(at(rank("lo"), "lo"), [*_KEYS, "lo"]), "end").join(at(rank("end"), "end"), [*_KEYS, "end"])
+    ranked, n_ranked = _kept(ranked.select(*_KEYS, "rule", "_lo", "_end"), "ranked")
+    span = F.max(F.col("_end") - F.col("_lo"))
+    widest = ranked.groupBy(*_KEYS).agg(span.alias("widest"))
     up = lambda c, level: F.expr(f"-(-{c} >> (2 * ({level})))")  # noqa: E731  rounded up
     down = lambda c, level: F.expr(f"{c} >> (2 * ({level}))")
-    cut = ranked.select(*_KEYS, "rule_seq", "ttl_s", "_lo", "_end", F.explode(_levels(F.col("_end") - F.col("_lo"))).alias("level"))
+    # a rule makes some blocks a level, a stretch has a row a level; rules near each other share blocks and meet beforehand
+    levels = widest.agg(F.max(F.size(_levels(F.col("widest"))))).first()[0] or 1
+    near, block, stretch = ["_near_lo", "_near_end"], ["level", "block"], [*_KEYS, "at", "next"]
+    cut = ranked.withColumns({"_near_lo": F.expr("_lo >> 12"), "_near_end": F.expr("_end >> 12")})
+    cut = dealt(cut, 4 * levels * n_ranked, *_KEYS, *near)
+    cut = cut.select(*_KEYS, *near, "rule", "_lo", "_end", F.explode(_levels(F.col("_end") - F.col("_lo"))).alias("level"))
     cut = cut.withColumn("a", up("_lo", "level")).withColumn("b", down("_end", "level")).where("a < b")
     cut = cut.withColumn("pa", up("_lo", "level + 1") * 4).withColumn("pb", down("_end", "level + 1") * 4)
     # what the next level covers is left to it
@@ -101,20 +133,24 @@ def _segments(rules: DataFrame) -> DataFrame:
         lambda n: (n < F.col("pa")) | (n >= F.col("pb")),
     )
     blocks = F.array_distinct(F.when(F.col("pa") < F.col("pb"), outside).otherwise(whole))
-    nodes = cut.withColumn("block", F.explode(blocks)).groupBy(*_KEYS, "level", "block")
-    nodes = nodes.agg(F.max(F.struct("rule_seq", "ttl_s")).alias("rule"))
-    stretches = bounds.where("next IS NOT NULL").select(*_KEYS, "rank", "at", "next", F.explode(_levels(F.col("of"))).alias("level"))
-    stretches = stretches.withColumn("block", F.expr("CAST(rank AS BIGINT) >> (2 * level)"))
-    found = stretches.join(nodes, [*_KEYS, "level", "block"]).groupBy(*_KEYS, "at", "next").agg(F.max("rule").alias("rule"))
+    newest = F.max("rule").alias("rule")
+    nodes = cut.withColumn("block", F.explode(blocks)).groupBy(*_KEYS, *near, *block).agg(newest)
+    nodes = dealt(nodes.drop(*near), levels * n, *_KEYS, *block).groupBy(*_KEYS, *block).agg(newest)
+    # no block of a level is wider than the widest rule
+    stretches = bounds.where("next IS NOT NULL").join(widest, _KEYS)
+    stretches = stretches.select(*stretch, "rank", F.explode(_levels(F.col("widest"))).alias("level"))
+    stretches = dealt(stretches.withColumn("block", F.expr("rank >> (2 * level)")).drop("rank"), levels * n, *_KEYS, *block)
+    found = dealt(stretches.join(nodes, [*_KEYS, *block]).select(*stretch, "rule"), levels * n, *stretch).groupBy(*stretch).agg(newest)
     return found.select(*_KEYS, F.col("at").alias("lo"), (F.col("next") - 1).alias("hi"), "rule.rule_seq", "rule.ttl_s")
 
 
-def _as_of(rows: DataFrame, segments: DataFrame, at: str, borders: Borders, out: str) -> DataFrame:
+def _as_of(rows: DataFrame, segments: DataFrame, at: str, borders: Borders, out: str, size: int) -> DataFrame:
     """`rows` with `out`, the segment of their backend and channel whose range holds their value of `at`, or NULL.
 
     Segments are disjoint, so that is the last one that starts at or before the value, if it ends at or behind it. Values
     are cut into blocks of equal depth, and a segment is filed under every block it reaches into: a block then knows all it
-    needs, a busy channel is spread over its blocks, and the rows are shuffled once, by (backend, channel, block).
+    needs, a busy channel is spread over its blocks, and the rows are shuffled once, by (backend, channel, block). `size` is
+    the number of rows and segments, which the number of tasks grows with.
     """
     spread = -1 - F.pmod(F.xxhash64("pulse_id", "ts"), F.lit(4096))  # what has no place needs no company
     rows = rows.withColumn("_block", F.coalesce(borders.bucket(F.col(at)), spread)).withColumn("_at", F.col(at))
@@ -124,7 +160,7 @@ def _as_of(rows: DataFrame, segments: DataFrame, at: str, borders: Borders, out:
         "backend", "channel", F.explode(blocks).alias("_block"), F.col("lo").alias("_at"), F.lit(False).alias("_sample"),
         F.struct("hi", "rule_seq", "ttl_s").alias("_segment"),
     ).where("backend IS NOT NULL AND channel IS NOT NULL")
-    both = rows.unionByName(filed, allowMissingColumns=True)
+    both = dealt(rows.unionByName(filed, allowMissingColumns=True), size, "backend", "channel", "_block")
     order = Window.partitionBy("backend", "channel", "_block").orderBy("_at", "_sample")
     last = F.last("_segment", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     both = both.withColumn("_segment", last).where("_sample")
@@ -143,19 +179,15 @@ def apply_retention(
     """
     if "ts" not in samples.columns:
         samples = samples.withColumn("ts", join_ts(F.col("ts_sec"), F.col("ts_ns")))
-    spark = samples.sparkSession
     # only rules were shuffled up to here; both passes read them
-    path = scratch_dir(spark, "segments")
-    found = _segments(rules)
-    found.write.parquet(path)
-    found = spark.read.schema(found.schema).parquet(path)
-    axes = {r["axis"] for r in found.select("axis").distinct().collect()}
+    found, _ = _kept(_segments(rules, block_rows), "segments")
+    axes = {r["axis"]: r["count"] for r in found.groupBy("axis").count().collect()}
     rows = samples.withColumn("_p", F.col("pulse_id").cast("bigint")).withColumn("_t", _micros(F.col("ts")))
     wanted = [f"_{axis}" for axis in sorted(axes)]
     winners = []
     for at, borders in zip(wanted, depth_borders(rows, wanted, block_rows) if wanted else []):
         mine = found.where(F.col("axis") == at[1:]).drop("axis")
-        rows = _as_of(rows, mine, at, borders, f"_held{at}")
+        rows = _as_of(rows, mine, at, borders, f"_held{at}", borders.rows + axes[at[1:]])
         winners.append(F.col(f"_held{at}"))
     best = F.greatest(*winners) if len(winners) > 1 else winners[0] if winners else F.lit(None).cast("struct<rule_seq: bigint, ttl_s: bigint>")
     ttl = F.coalesce(best["ttl_s"], F.lit(default_ttl_s).cast("bigint"))

@@ -28,14 +28,18 @@ from pyspark.sql import functions as F
 BUCKET_ROWS = 1_000_000
 # Quantiles that are asked for; between two of them buckets are of equal width.
 QUANTILES = 64
+# Rows a task should sort, where the number of tasks has to grow with the rows.
+TASK_ROWS = 500_000
 
 
 @dataclass(frozen=True)
 class Borders:
-    """Buckets of about equal depth for whole numbers: between neighbouring `cuts` lie `parts` buckets of equal width."""
+    """Buckets of about equal depth for whole numbers: between neighbouring `cuts` lie `parts` buckets of equal width.
+    `rows` is how many values they were made for."""
 
     cuts: tuple[int, ...]
     parts: int = 1
+    rows: int = 0
 
     def bucket(self, at: Column) -> Column:
         """The bucket of a value, as BIGINT that never falls as the value grows; NULL for NULL."""
@@ -68,10 +72,17 @@ def depth_borders(df: DataFrame, columns: Sequence[str], bucket_rows: int = BUCK
     made = []
     for i in range(len(columns)):
         cuts = tuple(sorted(set(found[f"q{i}"] or ())))
-        made.append(Borders(cuts, max(1, -(-found[f"n{i}"] // (max(1, len(cuts) - 1) * bucket_rows)))))
+        n = found[f"n{i}"]
+        made.append(Borders(cuts, max(1, -(-n // (max(1, len(cuts) - 1) * bucket_rows))), n))
     return made
 
 
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """`df` by keys over enough tasks to give each about `TASK_ROWS` of its rows; few rows are left to Spark."""
+    tasks = -(-rows // TASK_ROWS)
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 @dataclass(frozen=True)
 class OrderedScan:
     """`by` names the stream, `order` a BIGINT column that is unique within it."""

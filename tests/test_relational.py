@@ -409,3 +409,28 @@ def test_late_column(spark):
     assert archive.align_schema([early, late]).where("b IS NULL").count() == 50
     filled = archive.align_schema([early, late], fill_null=0).orderBy("id").collect()
     assert [r.b for r in filled] == [0] * 50 + list(range(50, 100))
+
+
+def test_retention_rules_of_one_channel_over_many_tasks(spark, monkeypatch):
+    from pulsekit.operators import scan
+
+    monkeypatch.setattr(scan, "TASK_ROWS", 100)
+    rng, rules = random.Random(3), []
+    for seq in range(600):  # nested, equal, open and overlapping ranges, nearly all of one channel
+        lo = rng.choice([0, 0, 7, rng.randrange(3000)])
+        rules.append((seq // 2, "b", rng.choice("ccccd"), lo, rng.choice([lo + 5, 2999, lo + rng.randrange(3000)]), None, None, rng.randrange(9)))
+    frame = spark.createDataFrame(rules, retention.RULES_SCHEMA)
+    samples = spark.range(-5, 3500).select(
+        F.lit("b").alias("backend"), F.element_at(F.array(*map(F.lit, "cde")), (F.pmod("id", F.lit(3)) + 1).cast("int")).alias("channel"),
+        F.col("id").alias("pulse_id"), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts"),
+    )
+    got = {r.pulse_id: r.ttl_s for r in retention.apply_retention(samples, frame, block_rows=40).select("pulse_id", "ttl_s").collect()}
+    assert len(got) == 3505
+    for pulse, ttl in got.items():
+        covering = [(r[0], r[7]) for r in rules if r[2] == "cde"[pulse % 3] and r[3] <= pulse <= r[4]] if pulse >= 0 else []
+        assert ttl == (max(covering)[1] if covering else None)
+    # bounds are ranked by bucket, and the tasks that bring blocks together grow with the rules
+    bounds = retention._bounds(retention._ranges(frame), 40)
+    tasks = bounds.groupBy("channel", F.spark_partition_id().alias("task")).count().where("channel = 'c'").count()
+    assert tasks > 4
+    assert [r.rank for r in bounds.where("channel = 'c'").orderBy("at").collect()] == list(range(bounds.where("channel = 'c'").count()))
