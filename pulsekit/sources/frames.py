@@ -212,7 +212,7 @@ def decode_frames(frames: DataFrame, channels: Iterable[str] | None = None) -> D
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             parts = _Parts(batch)
             heads = _Heads(batch, parts)
             for defs, places in _by_header(heads, parts, cache):
@@ -261,7 +261,7 @@ def decode_wide(frames: DataFrame, channels: Iterable[ChannelDef | dict]) -> Dat
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             parts = _Parts(batch)
             heads = _Heads(batch, parts)
             for found, places in _by_header(heads, parts, cache):
@@ -522,8 +522,11 @@ def encode_frames(
     )
 
 
-def _slices(batch: pa.RecordBatch, channels: int, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
-    """A batch in slices whose parts stay below `most` bytes; a value grows eightfold at most, and has 16 bytes of time."""
+def _slices(batch: pa.RecordBatch, channels: int = 0, most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose parts stay below `most` bytes; a value grows eightfold at most, and has 16 bytes of time.
+
+    Reading and writing copy parts several times: a task holds a batch as it came, and the copies of one slice.
+    """
     if not batch.num_rows:
         return
     a_row = 8 * batch.nbytes / batch.num_rows + 16 * channels

@@ -320,3 +320,29 @@ def test_extended_lists(spark):
     assert rows(again, "arrival_seq", "ordinal", "value.i", "value.f", "value.s") == rows(
         fr.decode_frames(frames), "arrival_seq", "ordinal", "value.i", "value.f", "value.s"
     )
+
+
+class _Batches:
+    """A table of one Arrow batch that keeps what a function makes of it, to be looked at batch by batch."""
+
+    def __init__(self, batch):
+        self.batch = batch
+
+    def select(self, *columns):
+        return _Batches(self.batch.select(list(columns)))
+
+    def mapInArrow(self, function, schema):
+        return list(function(iter([self.batch])))
+
+
+def test_large_messages_are_read_in_slices(spark):
+    texts = [f"{i} é" + "x" * (20_000 if i % 2 else 0) for i in range(2000)]
+    sent = spark.createDataFrame([(i, 1, 2, t) for i, t in enumerate(texts)], "pulse_id bigint, global_sec bigint, global_ns bigint, text string")
+    frames = fr.encode_frames(sent).select("stream_id", "arrival_seq", "parts").toArrow().combine_chunks().to_batches()[0]
+    assert frames.num_rows == 2000 and frames.nbytes > 20_000_000
+    for made, value in (
+        (fr.decode_frames(_Batches(frames)), lambda r: r["value"]["s"]),
+        (fr.decode_wide(_Batches(frames), [{"name": "text", "type": "string"}]), lambda r: r["text"]),
+    ):
+        assert max(b.nbytes for b in made) < 8_000_000
+        assert {r["pulse_id"]: value(r) for b in made for r in b.to_pylist()} == dict(enumerate(texts))
